@@ -1,0 +1,36 @@
+"""Intermediate tables in the shared checkpoint folder."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """The folder the cluster names; a temporary one only in local mode."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder:
+        return folder
+    if not context.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="callmeter-"))
+    return context.getCheckpointDir()
+
+
+def new_folder(spark: SparkSession, label: str) -> str:
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Writes the rows once and reads them back.
+
+    For results that several later steps read: the steps then scan columns of
+    a table instead of repeating the work, also after the loss of an executor.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
