@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,8 +14,10 @@ from callmeter.operators.allowance import charge_counters, free_allowance_split
 from callmeter.operators.chargeable import free_by_project
 from callmeter.operators.running import running_charge_totals
 from callmeter.plans.billing import chargeable_log, counted, priced
+from callmeter.plans.stored import new_folder
 from callmeter.schema import FIELD_NAMES
 from callmeter.settings import Settings
+from callmeter.sources.access_log import stream_lines
 from callmeter.sources.charge_rules import active_rules
 from callmeter.sources.workload import (
     billing_log,
@@ -23,6 +26,8 @@ from callmeter.sources.workload import (
     json_lines,
     sample_rules,
 )
+from callmeter.streaming.jobs import start_metering
+from callmeter.streaming.ledger import Ledger, result_table
 
 SETTINGS = Settings()
 COMPAT = replace(SETTINGS, compat=True)
@@ -30,6 +35,11 @@ COMPAT = replace(SETTINGS, compat=True)
 # Month from which the resumed bill is priced on top of earlier totals.
 RESUME_MONTH = "1998-07"
 
+
+def utc_ms(*date: int) -> int:
+    return int(datetime(*date, tzinfo=timezone.utc).timestamp()) * 1000
+
+
 # What names one increment of a bill.
 INCREMENT = [
     "window_start",
@@ -246,6 +256,43 @@ def resumed_charging_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.user_charging_month(priced(rest, rules, SETTINGS, earlier, batch_id=1))
 
 
+def _streamed(
+    spark: SparkSession, log: DataFrame, cuts: list[int], rules: DataFrame | None
+) -> Ledger:
+    """Feeds the log to the streaming job as JSON lines, slice after slice.
+
+    The slices end at the given times.  The job is started anew for each and
+    goes on from its checkpoint.
+    """
+    folder = new_folder(spark, "stream")
+    ledger = Ledger(f"{folder}/ledger", snapshot_every=2)
+    edges = [None, *cuts, None]
+    for start, end in zip(edges, edges[1:]):
+        part = log
+        if start is not None:
+            part = part.filter(F.col("add_time_ms") >= start)
+        if end is not None:
+            part = part.filter(F.col("add_time_ms") < end)
+        json_lines(part).write.mode("append").text(f"{folder}/lines")
+        lines = stream_lines(spark, f"{folder}/lines")
+        start_metering(lines, ledger, f"{folder}/checkpoint", rules, SETTINGS, once=True).awaitTermination()
+    return ledger
+
+
+def stream_access_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Usage statistics from the streaming job, fed in slices of ten days."""
+    cuts = [utc_ms(2024, 1, 11), utc_ms(2024, 1, 21)]
+    ledger = _streamed(spark, events_log(spark, sf_dir), cuts, rules=None)
+    return result_table(spark, ledger, "user_access_statistics")
+
+
+def stream_charging(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly bills from the streaming job, fed in slices of some years."""
+    cuts = [utc_ms(1997, 6, 10), utc_ms(1999, 9, 20)]
+    ledger = _streamed(spark, billing_log(spark, sf_dir), cuts, sample_rules(spark))
+    return result_table(spark, ledger, "user_charging_month")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "access_log_parse": access_log_parse,
     "quarantined_records": quarantined_records,
@@ -279,4 +326,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "charged_totals_lifetime": charged_totals_lifetime,
     "charged_totals_month": charged_totals_month,
     "resumed_charging_month": resumed_charging_month,
+    "stream_access_stats": stream_access_stats,
+    "stream_charging": stream_charging,
 }

@@ -73,3 +73,59 @@ CHARGED_TOTALS = T.StructType(
         T.StructField("deal_count", T.LongType()),
     ]
 )
+
+# Tables of the ledger, without their partition columns batch_id and the like.
+LEDGER_TABLES = {
+    "archive": T.StructType(
+        [T.StructField("rowkey", T.StringType())]
+        + [T.StructField(column, T.StringType()) for _, _, column in ACCESS_FIELDS]
+        + [T.StructField("log_id", T.StringType()), T.StructField("salt", T.StringType())]
+    ),
+    "rejected": T.StructType(
+        [T.StructField("value", T.StringType()), T.StructField("reject_reason", T.StringType())]
+    ),
+    "increments": T.StructType(
+        [
+            T.StructField("window_start", T.LongType()),
+            T.StructField("user_id", T.StringType()),
+            T.StructField("api_id", T.LongType()),
+            T.StructField("app_id", T.LongType()),
+            T.StructField("status", T.IntegerType()),
+            T.StructField("in_param", T.StringType()),
+            T.StructField("call_count", T.LongType()),
+            T.StructField("sum_flow", T.LongType()),
+            T.StructField("sum_deal", T.LongType()),
+            T.StructField("user_logo", T.StringType()),
+            T.StructField("user_project", T.StringType()),
+            T.StructField("api_type", T.IntegerType()),
+            T.StructField("charge_type", T.IntegerType()),
+            T.StructField("add_time", T.LongType()),
+            T.StructField("access_day", T.StringType()),
+            T.StructField("access_month", T.StringType()),
+        ]
+    ),
+    "charges": T.StructType(
+        [
+            T.StructField("user_id", T.StringType()),
+            T.StructField("user_logo", T.StringType()),
+            T.StructField("user_project", T.StringType()),
+            T.StructField("api_id", T.LongType()),
+            T.StructField("charge_type", T.IntegerType()),
+            T.StructField("window_start", T.LongType()),
+            T.StructField("seq_hash", T.LongType()),
+            T.StructField("app_id", T.LongType()),
+            T.StructField("access_day", T.StringType()),
+            T.StructField("is_free", T.BooleanType()),
+            T.StructField("access_count", T.LongType()),
+            T.StructField("access_flow", T.LongType()),
+            T.StructField("deal_count", T.LongType()),
+            T.StructField("access_money", T.DoubleType()),
+            T.StructField("charge_id", T.LongType()),
+            T.StructField("charge_order", T.DecimalType(38, 0)),
+            T.StructField("access_month", T.StringType()),
+        ]
+    ),
+    "batches": T.StructType(
+        [T.StructField("measure", T.StringType()), T.StructField("row_count", T.LongType())]
+    ),
+}

@@ -37,6 +37,18 @@ def sample_rules(spark: SparkSession, spend_types: tuple[int, ...] = (1, 2, 3))
     )
 
 
+def _spread(table: DataFrame, key: str) -> DataFrame:
+    """A table stored in fewer splits than there are cores, spread by a key.
+
+    The tables of a large warehouse have more splits than cores and are left
+    as they are; a small one in a single file would be read by a single task.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    if table.rdd.getNumPartitions() >= cores:
+        return table
+    return table.repartition(cores, key)
+
+
 def _typed(columns: dict[str, Column]) -> list[Column]:
     return [columns[name].cast(kind).alias(name) for name, kind, _ in ACCESS_FIELDS]
 
@@ -44,6 +56,7 @@ def _typed(columns: dict[str, Column]) -> list[Column]:
 def billing_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many months of calls, from lineitem and orders."""
     lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    lineitem = _spread(lineitem, "l_orderkey")
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_custkey")
     joined = lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
@@ -112,7 +125,7 @@ def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "accessFlow": F.floor(F.col("value") * 10),
         "dealCount": F.floor(F.col("value")),
     }
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    events = _spread(spark.read.parquet(f"{sf_dir}/events.parquet"), "event_id")
     return events.select(
         *_typed(columns), ms.alias("add_time_ms"), F.col("event_id").cast("string").alias("log_id")
     )
