@@ -6,10 +6,11 @@ as rows that precede all increments, so no lookup join is needed and the
 shuffle by charge key is the only one.
 
 A key that holds a large share of the data is not summed in one task.  Its
-increments are cut into blocks, by window and by the leading bits of
-``seq_hash``, which follow the order of the key.  Totals of the blocks are
-summed first, which takes one row per block, and the sums inside the blocks
-are then taken independently of each other.
+increments are cut into blocks that follow one another in the order of the
+key: days, or windows where a day is too large, or sixteen parts of a window,
+by the leading bits of ``seq_hash``, where a window is too large.  Totals of
+the blocks are summed first, which takes one row per block, and the sums
+inside the blocks are then taken independently of each other.
 """
 
 from __future__ import annotations
@@ -17,14 +18,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from callmeter.functions.clock import DAY_MS, window_start
 from callmeter.schema import CHARGE_KEY, CHARGE_ORDER
 from callmeter.settings import Settings
+from callmeter.sources.stored import stored
 
 KEY_MONTH = [*CHARGE_KEY, "access_month"]
 
 # arrival is 0 for totals charged earlier and 1 for increments.
-BLOCK = ["arrival", "window_start", "block"]
-INSIDE_BLOCK = ["seq_hash", "app_id", "in_param"]
+BLOCK = ["arrival", "block_day", "block_window", "block_hash"]
+PLACE = [*KEY_MONTH, *BLOCK]
 
 # seq_hash has 60 bits; its leading four give 16 blocks per window.
 BLOCK_SHIFT = 56
@@ -54,23 +57,26 @@ def _with_earlier(increments: DataFrame, earlier: DataFrame | None) -> DataFrame
     return rows.unionByName(totals, allowMissingColumns=True)
 
 
-def _add_consumed(rows: DataFrame, order: list[str]) -> DataFrame:
+def _add_consumed(rows: DataFrame, order: list[str], resumed: bool) -> DataFrame:
     """Lifetime deals, and deals and flow of the month, before each row.
 
-    Both windows sort by the same columns, so one sort serves them.  Ordering
-    the lifetime by month first keeps time order, because a month is a span
-    of windows; the earlier totals of later months are added separately.
+    All windows are served by one sort.  Ordering the lifetime by month first
+    keeps time order, because a month is a span of windows; the totals charged
+    earlier, which may belong to later months, are added as a whole.
     """
     life = Window.partitionBy(*CHARGE_KEY).orderBy("access_month", "arrival", *order)
     month = Window.partitionBy(*KEY_MONTH).orderBy("arrival", *order)
-    whole = Window.partitionBy(*CHARGE_KEY)
-    is_new = F.col("arrival") == 1
-    earlier_deals = F.sum(F.when(is_new, 0).otherwise(F.col("sum_deal"))).over(whole)
+    if resumed:
+        is_new = F.col("arrival") == 1
+        new_deals = F.when(is_new, F.col("sum_deal")).otherwise(0)
+        earlier_deals = F.when(is_new, 0).otherwise(F.col("sum_deal"))
+        whole = Window.partitionBy(*CHARGE_KEY)
+        prior_deals = _before(new_deals, life) + F.sum(earlier_deals).over(whole)
+    else:
+        prior_deals = _before("sum_deal", life)
     return rows.select(
         "*",
-        (_before(F.when(is_new, F.col("sum_deal")).otherwise(0), life) + earlier_deals).alias(
-            "prior_deals"
-        ),
+        prior_deals.alias("prior_deals"),
         _before("sum_deal", month).alias("month_deals"),
         _before("sum_flow", month).alias("month_flow"),
     )
@@ -90,52 +96,84 @@ def _add_month_calls(rows: DataFrame, order: list[str]) -> DataFrame:
     return rows.withColumn("month_calls", _before("paid_calls", month))
 
 
-def _whole_keys(rows: DataFrame, settings: Settings) -> DataFrame:
-    consumed = _add_paid_calls(_add_consumed(rows, CHARGE_ORDER), settings)
+def _whole_keys(rows: DataFrame, settings: Settings, resumed: bool) -> DataFrame:
+    consumed = _add_paid_calls(_add_consumed(rows, CHARGE_ORDER, resumed), settings)
     return _add_month_calls(consumed, CHARGE_ORDER)
 
 
-def _in_blocks(rows: DataFrame, settings: Settings) -> DataFrame:
-    place = [*KEY_MONTH, *BLOCK]
-    inside = Window.partitionBy(*place).orderBy(*INSIDE_BLOCK)
-    between = ["window_start", "block"]
-    is_new = F.col("arrival") == 1
+def _with_blocks(rows: DataFrame, limit: int) -> DataFrame:
+    """Adds the columns that name the block of each row.
 
-    rows = rows.withColumn("block", F.shiftright("seq_hash", BLOCK_SHIFT))
-    totals = rows.groupBy(*place).agg(
-        F.sum("sum_deal").alias("sum_deal"), F.sum("sum_flow").alias("sum_flow")
+    Each day and each window that is cut holds more than ``limit`` rows, so
+    both lists are as short as that of the heavy keys and can be broadcast.
+    """
+    size = "block_rows"
+    # Days of UTC, whatever zone the bill is made out in: they never overlap.
+    rows = rows.withColumn("block_day", window_start(F.col("window_start"), DAY_MS))
+    windows = rows.groupBy(*CHARGE_KEY, "block_day", "window_start").agg(
+        F.count(F.lit(1)).alias(size)
     )
-    starts = _add_consumed(totals, between).select(
-        *place,
-        F.col("prior_deals").alias("start_prior_deals"),
-        F.col("month_deals").alias("start_month_deals"),
-        F.col("month_flow").alias("start_month_flow"),
+    days = windows.groupBy(*CHARGE_KEY, "block_day").agg(F.sum(size).alias(size))
+    large_days = days.filter(F.col(size) > limit).drop(size).withColumn("by_window", F.lit(True))
+    large_windows = (
+        windows.filter(F.col(size) > limit).drop(size, "block_day").withColumn("by_hash", F.lit(True))
     )
-    deals = _before("sum_deal", inside)
-    consumed = (
-        rows.join(starts, place)
-        .select(
-            *rows.columns,
-            (F.col("start_prior_deals") + F.when(is_new, deals).otherwise(0)).alias("prior_deals"),
-            (F.col("start_month_deals") + deals).alias("month_deals"),
-            (F.col("start_month_flow") + _before("sum_flow", inside)).alias("month_flow"),
+    return (
+        rows.join(F.broadcast(large_days), [*CHARGE_KEY, "block_day"], "left")
+        .join(F.broadcast(large_windows), [*CHARGE_KEY, "window_start"], "left")
+        .withColumn("block_window", F.when(F.col("by_window"), F.col("window_start")).otherwise(0))
+        .withColumn(
+            "block_hash",
+            F.when(F.col("by_hash"), F.shiftright("seq_hash", BLOCK_SHIFT)).otherwise(0),
         )
+        .drop("by_window", "by_hash")
     )
-    consumed = _add_paid_calls(consumed, settings)
 
-    paid = consumed.groupBy(*place).agg(F.sum("paid_calls").alias("paid_calls"))
+
+def _in_blocks(rows: DataFrame, settings: Settings, resumed: bool, limit: int) -> DataFrame:
+    """The same totals, with every row shuffled once, by its block."""
+    columns = rows.columns
+    rows = _with_blocks(rows, limit)
+    between = [name for name in BLOCK if name != "arrival"]
+    inside = Window.partitionBy(*PLACE).orderBy(*CHARGE_ORDER)
+
+    blocks = rows.groupBy(*PLACE).agg(
+        F.sum("sum_deal").alias("sum_deal"), F.sum("sum_flow").alias("sum_flow")
+    )
+    starts = _add_consumed(blocks, between, resumed).select(
+        *PLACE,
+        F.col("prior_deals").alias("block_prior_deals"),
+        F.col("month_deals").alias("block_month_deals"),
+        F.col("month_flow").alias("block_month_flow"),
+    )
+    deals = _before("sum_deal", inside)
+    new_deals = F.when(F.col("arrival") == 1, deals).otherwise(0) if resumed else deals
+    consumed = rows.join(starts, PLACE).select(
+        *columns,
+        *between,
+        (F.col("block_prior_deals") + new_deals).alias("prior_deals"),
+        (F.col("block_month_deals") + deals).alias("month_deals"),
+        (F.col("block_month_flow") + _before("sum_flow", inside)).alias("month_flow"),
+    )
+    # Which calls were paid is known only now, and is summed over the blocks
+    # in turn; the rows are stored so that this does not repeat the work above.
+    consumed = stored(
+        _add_paid_calls(consumed, settings).withColumn("calls_inside", _before("paid_calls", inside)),
+        "heavy",
+    )
+    paid = consumed.groupBy(*PLACE).agg(F.sum("paid_calls").alias("paid_calls"))
     paid_starts = _add_month_calls(paid, between).select(
-        *place, F.col("month_calls").alias("start_month_calls")
+        *PLACE, F.col("month_calls").alias("block_month_calls")
     )
     return (
-        consumed.join(paid_starts, place)
-        .withColumn("month_calls", F.col("start_month_calls") + _before("paid_calls", inside))
-        .drop("start_month_calls", "block")
+        consumed.join(paid_starts, PLACE)
+        .withColumn("month_calls", F.col("block_month_calls") + F.col("calls_inside"))
+        .drop("block_month_calls", "calls_inside", *between)
     )
 
 
-def heavy_keys(rows: DataFrame, settings: Settings) -> DataFrame | None:
-    """Charge keys too large for one task, or None.
+def heavy_keys(rows: DataFrame, settings: Settings) -> tuple[DataFrame, int] | None:
+    """Charge keys too large for one task and the limit they exceed, or None.
 
     Each holds more than 1/heavy_key_share of the rows, so there are fewer
     than heavy_key_share of them and the set can be broadcast.
@@ -147,7 +185,7 @@ def heavy_keys(rows: DataFrame, settings: Settings) -> DataFrame | None:
     limit = max(settings.heavy_key_rows, size.total // settings.heavy_key_share)
     if size.largest <= limit:
         return None
-    return per_key.filter(F.col("key_rows") > limit).select(*CHARGE_KEY)
+    return per_key.filter(F.col("key_rows") > limit).select(*CHARGE_KEY), limit
 
 
 def running_charge_totals(
@@ -160,12 +198,16 @@ def running_charge_totals(
     charged before, one or more rows per charge key and month.
     """
     rows = _with_earlier(increments, earlier)
+    resumed = earlier is not None
     heavy = heavy_keys(increments, settings)
     if heavy is None:
-        totals = _whole_keys(rows, settings)
+        totals = _whole_keys(rows, settings, resumed)
     else:
-        heavy = F.broadcast(heavy)
-        light_rows = rows.join(heavy, CHARGE_KEY, "left_anti")
-        heavy_rows = rows.join(heavy, CHARGE_KEY, "left_semi")
-        totals = _whole_keys(light_rows, settings).unionByName(_in_blocks(heavy_rows, settings))
+        keys, limit = heavy
+        keys = F.broadcast(keys)
+        light_rows = rows.join(keys, CHARGE_KEY, "left_anti")
+        heavy_rows = rows.join(keys, CHARGE_KEY, "left_semi")
+        totals = _whole_keys(light_rows, settings, resumed).unionByName(
+            _in_blocks(heavy_rows, settings, resumed, limit)
+        )
     return totals.filter(F.col("arrival") == 1).drop("arrival")

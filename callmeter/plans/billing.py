@@ -9,8 +9,8 @@ from callmeter.operators.chargeable import chargeable_increments
 from callmeter.operators.metering import access_increments
 from callmeter.operators.running import running_charge_totals
 from callmeter.operators.tiers import increment_charges, match_tiers
-from callmeter.plans.stored import stored
 from callmeter.settings import Settings
+from callmeter.sources.stored import stored
 
 
 def chargeable_log(log: DataFrame, settings: Settings = Settings()) -> DataFrame:

@@ -14,11 +14,11 @@ from callmeter.operators.allowance import charge_counters, free_allowance_split
 from callmeter.operators.chargeable import free_by_project
 from callmeter.operators.running import running_charge_totals
 from callmeter.plans.billing import chargeable_log, counted, priced
-from callmeter.plans.stored import new_folder
 from callmeter.schema import FIELD_NAMES
 from callmeter.settings import Settings
 from callmeter.sources.access_log import stream_lines
 from callmeter.sources.charge_rules import active_rules
+from callmeter.sources.stored import new_folder
 from callmeter.sources.workload import (
     billing_log,
     damaged_lines,
