@@ -110,22 +110,18 @@ def success_measures(increments: DataFrame) -> DataFrame:
     )
 
 
-def _usage(increments: DataFrame, **dims: str) -> DataFrame:
-    return (
-        success_measures(increments)
-        .groupBy(*[F.col(source).alias(name) for name, source in dims.items()])
-        .agg(
-            *[
-                F.sum(measure).alias(measure)
-                for measure in ("access_count", "success_count", "access_flow", "deal_count")
-            ]
-        )
+def _usage(measures: DataFrame, **dims: str) -> DataFrame:
+    return measures.groupBy(*[F.col(source).alias(name) for name, source in dims.items()]).agg(
+        *[
+            F.sum(measure).alias(measure)
+            for measure in ("access_count", "success_count", "access_flow", "deal_count")
+        ]
     )
 
 
-def user_access_statistics(increments: DataFrame) -> DataFrame:
+def user_usage(measures: DataFrame) -> DataFrame:
     return _usage(
-        increments,
+        measures,
         user_id="user_id",
         user_logo="user_logo",
         user_project="user_project",
@@ -135,12 +131,20 @@ def user_access_statistics(increments: DataFrame) -> DataFrame:
     )
 
 
-def project_access_statistics(increments: DataFrame) -> DataFrame:
+def project_usage(measures: DataFrame) -> DataFrame:
     return _usage(
-        increments, logo="user_logo", project="user_project", api_id="api_id", access_day="access_day"
+        measures, logo="user_logo", project="user_project", api_id="api_id", access_day="access_day"
     )
 
 
+def user_access_statistics(increments: DataFrame) -> DataFrame:
+    return user_usage(success_measures(increments))
+
+
+def project_access_statistics(increments: DataFrame) -> DataFrame:
+    return project_usage(success_measures(increments))
+
+
 def window_row_counts(log: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Records in each window."""
     return (

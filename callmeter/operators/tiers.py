@@ -17,6 +17,10 @@ HASHES_PER_WINDOW = 10**19
 WINDOWS_PER_BATCH = 10**9
 
 
+# A price list of up to this many rules, some megabytes, is broadcast.
+BROADCAST_RULES = 10_000
+
+
 def _overlapping(tiers: Column, prev: Column, new: Column) -> Column:
     return F.filter(
         tiers, lambda tier: (tier["lower_limit"] <= new) & (tier["upper_limit"] >= prev + 1)
@@ -57,8 +61,8 @@ def match_tiers(counters: DataFrame, rules: DataFrame, settings: Settings = Sett
     """Adds ``lines``, the tiers that each increment touches, with units and amount.
 
     Increments inside the free allowance, and those of a type without tiers,
-    have null.  The price list is joined without a hint: Spark broadcasts it
-    when its size allows.
+    have null.  The price list is counted and broadcast if it is short; if it
+    is not, Spark chooses the join.
     """
     prev, new = F.col("counter_prev"), F.col("counter_new")
     touched = F.when(~F.col("is_free"), _overlapping(F.col("tiers"), prev, new))
@@ -76,8 +80,11 @@ def match_tiers(counters: DataFrame, rules: DataFrame, settings: Settings = Sett
             amount(units, tier["rate"]).alias("amount"),
         )
 
+    book = tier_book(rules)
+    if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
+        book = F.broadcast(book)
     return (
-        counters.join(tier_book(rules), "charge_type", "left")
+        counters.join(book, "charge_type", "left")
         .withColumn("touched", touched)
         .withColumn("lines", F.transform("touched", line))
         .drop("tiers", "touched")
