@@ -17,10 +17,11 @@ def salted_row_key(user_id: Column, api_id: Column, app_id: Column, add_time: Co
     return F.concat(F.substring(F.md5(key), 1, 2), F.lit("_"), key)
 
 
-def text_hash60(*cols: Column) -> Column:
-    """The first 60 bits of the md5 of the joined columns, as BIGINT."""
+def text_hashes(*cols: Column) -> tuple[Column, Column]:
+    """The first and the next 60 bits of the md5 of the joined columns, as BIGINT."""
     digest = F.md5(F.concat_ws("|", *[c.cast("string") for c in cols]))
-    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
+    first, second = (F.conv(F.substring(digest, start, 15), 16, 10) for start in (1, 16))
+    return first.cast("bigint"), second.cast("bigint")
 
 
 def names_project(in_param: Column, project: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.functions.text import names_project, text_hash60
+from callmeter.functions.text import names_project, text_hashes
 from callmeter.settings import Settings
 
 
@@ -16,11 +16,19 @@ def free_by_project(increments: DataFrame) -> DataFrame:
     )
 
 
-def chargeable_increments(increments: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Successful calls of charged APIs, by users who pay, outside their own project.
+def with_sequence(increments: DataFrame) -> DataFrame:
+    """Adds ``seq_hash`` and ``seq_rest``, which order the increments of a window.
 
-    Adds ``seq_hash``, which places an increment among those of its window.
+    Together they are 120 bits of a hash of the user, API, application and
+    parameter.  With them in place of the parameter, which can be a long text,
+    bills are computed from narrow rows of numbers.
     """
+    seq_hash, seq_rest = text_hashes(*map(F.col, ("user_id", "api_id", "app_id", "in_param")))
+    return increments.withColumns({"seq_hash": seq_hash, "seq_rest": seq_rest})
+
+
+def chargeable_increments(increments: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """Successful calls of charged APIs, by users who pay, outside their own project."""
     return (
         free_by_project(
             increments.filter(
@@ -31,5 +39,5 @@ def chargeable_increments(increments: DataFrame, settings: Settings = Settings()
         )
         .filter(~F.col("project_free"))
         .drop("project_free")
-        .withColumn("seq_hash", text_hash60(*map(F.col, ("user_id", "api_id", "app_id", "in_param"))))
+        .transform(with_sequence)
     )

@@ -52,6 +52,7 @@ def _with_earlier(increments: DataFrame, earlier: DataFrame | None) -> DataFrame
         F.col("deal_count").alias("sum_deal"),
         F.lit(-1).cast("bigint").alias("window_start"),
         F.lit(0).cast("bigint").alias("seq_hash"),
+        F.lit(0).cast("bigint").alias("seq_rest"),
         F.lit(0).alias("arrival"),
     )
     return rows.unionByName(totals, allowMissingColumns=True)

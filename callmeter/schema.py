@@ -43,8 +43,8 @@ INCREMENT_KEYS = ["window_start", "user_id", "api_id", "app_id", "status", "in_p
 CHARGE_KEY = ["user_id", "user_logo", "user_project", "api_id", "charge_type"]
 
 # Order of the increments of one charge key.  seq_hash spreads a busy window
-# evenly; app_id and in_param make the order total.
-CHARGE_ORDER = ["window_start", "seq_hash", "app_id", "in_param"]
+# evenly; seq_rest tells apart what it does not.
+CHARGE_ORDER = ["window_start", "seq_hash", "seq_rest"]
 
 CHARGE_RULE = T.StructType(
     [

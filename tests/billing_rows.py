@@ -6,7 +6,7 @@ from fractions import Fraction
 from pyspark.sql import functions as F
 
 from callmeter.functions.clock import local_day, month_of
-from callmeter.functions.text import text_hash60
+from callmeter.operators.chargeable import with_sequence
 
 COLUMNS = (
     "user_id string, user_logo string, user_project string, api_id bigint, charge_type int, "
@@ -29,7 +29,7 @@ def increments(spark, rows):
         df.withColumn("window_start", F.col("add_time") - F.pmod("add_time", F.lit(60_000)))
         .withColumn("access_day", local_day(F.col("add_time")))
         .withColumn("access_month", month_of(F.col("access_day")))
-        .withColumn("seq_hash", text_hash60(*map(F.col, ("user_id", "api_id", "app_id", "in_param"))))
+        .transform(with_sequence)
     )
 
 
