@@ -290,3 +290,56 @@ def test_own_project_is_free(spark, in_param, project, free):
 )
 def test_what_is_charged(spark, changes, kept):
     assert chargeable_increments(measured(spark, **changes)).count() == kept
+
+
+def test_allowance_formula_equals_counting_deals(spark):
+    rng = random.Random(11)
+    cases = [
+        (rng.randrange(0, 30), rng.randrange(0, 30), rng.randrange(0, 30)) for _ in range(2000)
+    ]
+    df = spark.createDataFrame(
+        [(b + m, m, d) for b, m, d in cases], "prior_deals bigint, month_deals bigint, sum_deal bigint"
+    )
+    got = free_allowance_split(df, TEN_FREE).select("paid_prev", "paid_new").collect()
+
+    def beyond(first, count):
+        return sum(1 for deal in range(first + 1, first + count + 1) if deal > 10)
+
+    expected = [(beyond(b, m), beyond(b, m) + beyond(b + m, d)) for b, m, d in cases]
+    assert [tuple(r) for r in got] == expected
+
+
+@pytest.mark.parametrize("kind", [1, 2, 3])
+def test_tiers_that_cover_everything_bill_every_unit(spark, kind):
+    rows = [r for r in distinct(random_rows(7)) if r[1] == kind]
+    matched = tiers.match_tiers(counted(increments(spark, rows), TEN_FREE), tier_rows(spark), TEN_FREE)
+    sums = (
+        tiers.tier_lines(matched)
+        .groupBy("user_id", "window_start", "app_id")
+        .agg(
+            F.sum(F.coalesce("units", F.lit(0))).alias("billed"),
+            F.first(F.col("counter_new") - F.col("counter_prev")).alias("used"),
+        )
+    )
+    assert sums.count() > 0
+    assert sums.filter("billed <> used").count() == 0
+
+
+def test_a_bill_in_two_runs_equals_the_bill_in_one(spark):
+    df = increments(spark, distinct(random_rows(13)))
+    one = priced(df, tier_rows(spark), TEN_FREE)
+    early = priced(df.filter("access_month < '2020-03'"), tier_rows(spark), TEN_FREE)
+    totals = rollup.charged_totals_month(rollup.user_charging_day(early))
+    late = priced(df.filter("access_month >= '2020-03'"), tier_rows(spark), TEN_FREE, totals, batch_id=1)
+    assert {**bill(early), **bill(late)} == bill(one)
+
+
+def test_long_price_lists_are_not_broadcast_by_hand(spark, monkeypatch):
+    df = counted(increments(spark, [("u", 2, 0, 12, 0, 1)]), NONE_FREE)
+    short = tiers.match_tiers(df, tier_rows(spark), NONE_FREE)
+    monkeypatch.setattr(tiers, "BROADCAST_RULES", 2)
+    long = tiers.match_tiers(df, tier_rows(spark), NONE_FREE)
+    hinted = lambda d: "strategy=broadcast" in d._jdf.queryExecution().analyzed().toString()
+    assert hinted(short) and not hinted(long)
+    assert short.drop("lines").columns == long.drop("lines").columns
+    assert [r.lines for r in short.collect()] == [r.lines for r in long.collect()]
