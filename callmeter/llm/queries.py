@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmeter.llm import chat, exact, mixing, packing, sharding
+from callmeter.llm import chat, exact, langid, lm, mixing, packing, quality, sharding
 from callmeter.llm.common import BLANK_RUN, documents
 
 MAX_SHARD_BYTES = 32 << 20
@@ -86,6 +86,21 @@ GROUP BY conv_id
 """
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.score_quality(documents(spark, sf_dir), labels).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule"
+    )
+
+
+def op5_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(documents(spark, sf_dir))
+
+
+def op6_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(documents(spark, sf_dir))
+
+
 def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = mixing.counted(documents(spark, sf_dir))
     plan = mixing.source_plan(tokens, TARGET_ENTROPY, MAX_REPEATS)
@@ -191,6 +206,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op3_chat_format": op3_chat_format,
+    "op4_quality_rules": op4_quality_rules,
+    "op5_lattice_lm": op5_lattice_lm,
+    "op6_crf_language": op6_crf_language,
     "op7_temperature_mixing": op7_temperature_mixing,
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_best_fit_packing": op9_best_fit_packing,
