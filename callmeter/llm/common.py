@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from callmeter.sources.stored import stored
+
 # The white space that separates words.
 BLANKS = " \t\n\x0b\f\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
@@ -40,20 +43,55 @@ def fresh_name(df: DataFrame, name: str) -> str:
 def numbered(docs: DataFrame, name: str) -> DataFrame:
     """Numbers the rows, also those that are equal in every column.
 
-    The number is made of the input split and the place in it, so a table that
-    lies in files gets the same numbers whenever it is read.
+    The numbers depend on how the input is split, so they name a row in what
+    is stored with them and not in a table that is read again; see placed().
     """
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
-def without_rows(docs: DataFrame, row: str, dropped: DataFrame) -> DataFrame:
-    """The numbered rows of a table but those listed by number, without the number."""
-    return docs.join(dropped.select(F.col("row").alias(row)), row, "left_anti").drop(row)
+def in_files(docs: DataFrame) -> DataFrame:
+    """The table itself if its rows lie in files, else a stored copy of it."""
+    try:
+        docs.select("_metadata.file_path", "_metadata.row_index")
+    except AnalysisException:
+        return stored(docs, "documents")
+    return docs
+
+
+def placed(docs: DataFrame, file_name: str = "file_key", row_name: str = "file_row") -> DataFrame:
+    """Adds the place of every row, its file and its number there.
+
+    Unlike a number given by Spark, the place of a row of a table in files is
+    the same whenever and however split the table is read.
+    """
+    return docs.select(
+        "*",
+        F.xxhash64("_metadata.file_path").alias(file_name),
+        F.col("_metadata.row_index").alias(row_name),
+    )
+
+
+def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """The rows of a table in files but those whose places are listed, with the same columns."""
+    names = [fresh_name(docs, "file_key"), fresh_name(docs, "file_row")]
+    listed = dropped.select(F.col("file_key").alias(names[0]), F.col("file_row").alias(names[1]))
+    return placed(docs, *names).join(listed, names, "left_anti").drop(*names)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def drawn(rows: DataFrame, key: Column, most: int, total: int) -> DataFrame:
+    """At most so many rows of about total, those with the least hash key.
+
+    Only keys below a bound, which about twice as many rows have, are sorted,
+    so no task sends all it would if it were the only one.
+    """
+    bound = (1 << KEY_BITS) if total <= 2 * most else (1 << KEY_BITS) * 2 * most // total
+    name = fresh_name(rows, "draw")
+    return rows.withColumn(name, key).filter(F.col(name) < bound).orderBy(name, "doc_id").limit(most).drop(name)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmeter.llm.common import numbered, shuffle_partitions, text_of
+from callmeter.llm.common import in_files, numbered, placed, shuffle_partitions, text_of
 from callmeter.sources.stored import stored
 
 
@@ -52,11 +52,10 @@ class DigestIndex:
 
 
 def hashed_rows(docs: DataFrame) -> DataFrame:
-    """doc_id, row number and digest of every text, stored: the texts are read once."""
-    rows = numbered(docs.select("doc_id", "text"), "row")
-    return stored(
-        rows.select("doc_id", "row", F.unhex(F.sha2(text_of(), 256)).alias("digest")), "digests"
-    )
+    """doc_id, number, place and digest of every row, stored: the texts are read once."""
+    rows = numbered(placed(docs).select("doc_id", "text", "file_key", "file_row"), "row")
+    digest = F.unhex(F.sha2(text_of(), 256)).alias("digest")
+    return stored(rows.select("doc_id", "row", "file_key", "file_row", digest), "digests")
 
 
 def verdicts(hashed: DataFrame, index: DigestIndex) -> DataFrame:
@@ -70,7 +69,8 @@ def verdicts(hashed: DataFrame, index: DigestIndex) -> DataFrame:
     facts = stored(sizes.join(index.rows().hint("merge"), "digest"), "digest-facts")
     return hashed.join(facts, "digest").select(
         "doc_id",
-        "row",
+        "file_key",
+        "file_row",
         "keep_id",
         "group_size",
         (F.col("row") == F.col("keep_row")).alias("kept"),
@@ -79,7 +79,7 @@ def verdicts(hashed: DataFrame, index: DigestIndex) -> DataFrame:
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, row, keep_id, group_size, kept, text_sha256.
+    """One row per document: doc_id, its place, keep_id, group_size, kept, text_sha256.
 
     A null text counts as empty.  Of equal texts the row with the largest
     doc_id stays; a null doc_id is below all others, and of rows equal in text
@@ -91,7 +91,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     row with a larger doc_id.
     """
     spark = docs.sparkSession
-    hashed = hashed_rows(docs)
+    hashed = hashed_rows(in_files(docs))
     index = DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}", shuffle_partitions(spark))
     ends = hashed.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
     middle = 0 if ends.low is None else (ends.low + ends.high) // 2

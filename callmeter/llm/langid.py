@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callmeter.llm import words as w
-from callmeter.llm.common import hash_key
+from callmeter.llm.common import fresh_name, hash_key
 
 UNDETERMINED = "und"
 
@@ -284,3 +284,28 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
         F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"),
     )
     return rows.mapInArrow(_predict(shared), PREDICTED)
+
+
+def keep_identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """The documents whose language could be told, with the columns they came with.
+
+    Decided where the text is read; a document goes if identify() calls it "und".
+    """
+    model = model or fit(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    predict = _predict(shared)
+    lettered = fresh_name(docs, "lettered")
+    names = docs.columns
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            flags = batch.column(lettered)
+            own = pa.RecordBatch.from_arrays(
+                [pa.nulls(len(batch), pa.int64()), batch.column("text").fill_null(""), flags, flags],
+                names=["doc_id", "text", "held_out", "lettered"],
+            )
+            found = next(predict(iter([own]))).column("lang_pred").to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(found != UNDETERMINED)).select(names)
+
+    has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+    return docs.withColumn(lettered, has_letter).mapInArrow(keep, docs.schema)

@@ -97,15 +97,15 @@ def _lattice(pieces: Pieces, log_p: np.ndarray, hasher: w.Hasher, data: np.ndarr
     left[:] = np.repeat(starts + sizes, sizes) - np.arange(n)
     which = np.full((n, pieces.longest), -1, np.int32)
     sums = np.zeros(n + 1, np.uint64)
-    hasher._grow(n + 1)
-    np.cumsum(hasher.values[data] * hasher.powers[:n], out=sums[1:])
+    powers, inverses = hasher.tables(n + 1)
+    np.cumsum(hasher.values[data] * powers[:n], out=sums[1:])
     active = np.arange(n)
     for size in range(1, pieces.longest + 1):
         active = active[left[active] >= size]
         if not len(active):
             break
         hashes = w.mix(
-            (sums[active + size] - sums[active]) * hasher.inverses[active]
+            (sums[active + size] - sums[active]) * inverses[active]
             + np.uint64(size * w.ODD & w.ALL_BITS)
         )
         at = np.minimum(np.searchsorted(pieces.prefixes, hashes), len(pieces.prefixes) - 1)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from callmeter.llm import chat, exact, langid, lm, mixing, packing, quality, sharding
+import corpus_pipeline
+from callmeter.llm import chat, exact, langid, lm, mixing, neardup, packing, quality, sharding, superkmer
 from callmeter.llm.common import BLANK_RUN, documents
 
 MAX_SHARD_BYTES = 32 << 20
@@ -32,6 +33,12 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir), neardup.Likeness(words=2)).select(
+        "doc_id", "n_shingles", "component_id", "kept"
+    )
+
+
 MARKS_IN_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -203,8 +210,13 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
+def op10_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return superkmer.remove_repeats(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_chat_format": op3_chat_format,
     "op4_quality_rules": op4_quality_rules,
     "op5_lattice_lm": op5_lattice_lm,
@@ -212,6 +224,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_temperature_mixing": op7_temperature_mixing,
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_super_kmers": op10_super_kmers,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE_SQL: dict[str, str] = {

@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.llm.common import KEY_BITS, fresh_name, hash_key, numbered, text_of
+from callmeter.llm.common import KEY_BITS, fresh_name, hash_key, in_files, numbered, placed, text_of
 from callmeter.sources.stored import stored
 
 DEEPER = 8
@@ -38,10 +38,12 @@ def _prefix(depth: Column | int) -> tuple[Column, Column]:
 
 def sized_rows(docs: DataFrame) -> DataFrame:
     """doc_id, size and the two keys of every document, stored."""
-    rows = numbered(docs.select("doc_id", "text"), "row")
+    rows = numbered(placed(docs).select("doc_id", "text", "file_key", "file_row"), "row")
     return stored(
         rows.select(
             "doc_id",
+            "file_key",
+            "file_row",
             F.octet_length(text_of()).cast("bigint").alias("n_bytes"),
             hash_key(F.coalesce("doc_id", F.lit(-1))).alias("key1"),
             hash_key(F.lit("row"), F.col("row")).alias("key2"),
@@ -118,7 +120,7 @@ def shard_documents(docs: DataFrame, max_bytes: int) -> DataFrame:
     the limit has a shard of its own.  A null doc_id counts as -1.  Other
     columns are not read, and an empty table gives no rows.
     """
-    return _sharded(sized_rows(docs), max_bytes).select(
+    return _sharded(sized_rows(in_files(docs)), max_bytes).select(
         "doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_rows"
     )
 
@@ -139,16 +141,11 @@ def _sharded(sized: DataFrame, max_bytes: int) -> DataFrame:
 
 def write_shards(docs: DataFrame, path: str, max_bytes: int) -> None:
     """Writes the documents, one folder and file per shard."""
-    row, shard = fresh_name(docs, "row"), fresh_name(docs, "shard")
-    rows = numbered(docs, row)
-    sized = stored(
-        rows.select(
-            F.col(row).alias("row_number"),
-            F.octet_length(text_of()).cast("bigint").alias("n_bytes"),
-            hash_key(F.coalesce("doc_id", F.lit(-1))).alias("key1"),
-            hash_key(F.lit("row"), F.col(row)).alias("key2"),
-        ),
-        "sizes",
+    docs = in_files(docs)
+    shard = fresh_name(docs, "shard")
+    names = [fresh_name(docs, "file_key"), fresh_name(docs, "file_row")]
+    places = _sharded(sized_rows(docs), max_bytes).select(
+        F.col("file_key").alias(names[0]), F.col("file_row").alias(names[1]), F.col("shard").alias(shard)
     )
-    places = _sharded(sized, max_bytes).select(F.col("row_number").alias(row), F.col("shard").alias(shard))
-    rows.join(places, row).drop(row).repartition(F.col(shard)).write.partitionBy(shard).parquet(path)
+    rows = placed(docs, *names).join(places, names).drop(*names)
+    rows.repartition(F.col(shard)).write.partitionBy(shard).parquet(path)

@@ -56,13 +56,15 @@ class Hasher:
         self.powers = np.ones(1, np.uint64)
         self.inverses = np.ones(1, np.uint64)
 
-    def _grow(self, n: int) -> None:
+    def tables(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Powers of the base and of its inverse, n at least."""
         while len(self.powers) < n:
             size = len(self.powers)
             step = np.uint64(pow(self.base, size, 1 << 64))
             back = np.uint64(pow(self.inverse, size, 1 << 64))
             self.powers = np.concatenate([self.powers, self.powers * step])
             self.inverses = np.concatenate([self.inverses, self.inverses * back])
+        return self.powers, self.inverses
 
     def spans(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Hashes of ascending spans, taken in segments so that long texts need little memory."""
@@ -77,7 +79,7 @@ class Hasher:
 
     def _segment(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         n = len(data)
-        self._grow(n + 1)
+        self.tables(n + 1)
         sums = np.empty(n + 1, np.uint64)
         sums[0] = 0
         np.cumsum(self.values[data] * self.powers[:n], out=sums[1:])
