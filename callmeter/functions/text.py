@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,3 +31,11 @@ def names_project(in_param: Column, project: Column) -> Column:
     """
     named = F.get_json_object(in_param, "$.accessProject")
     return F.coalesce(named.contains(project), F.lit(False))
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """A column name that the table does not have yet, in any case of its letters."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -22,17 +22,22 @@ def period_buckets(log: DataFrame, settings: Settings = Settings()) -> DataFrame
     )
 
 
+# What an increment takes from its earliest record.
+EARLIEST = ["userLogo", "userProject", "apiType", "chargeType"]
+
+
 def access_increments(log: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per window, user, API, app, status and parameter.
 
     Logo, project, API type, charge type and time are those of the earliest
     record of the group; among records of one millisecond, of the one whose
-    values sort first.  A single minimum over a struct takes all five from the
-    same record and needs one aggregation buffer, and the choice does not
-    depend on how the input is split.
+    values sort first.
+
+    Records are first summed by the keys and these attributes together, with
+    buffers of fixed width, so raw records are hashed and never sorted.  The
+    minimum over a struct, which needs a sort, then sees few rows per group.
     """
-    earliest = F.min(F.struct("add_time_ms", "userLogo", "userProject", "apiType", "chargeType"))
-    grouped = (
+    summed = (
         log.select(
             window_start(F.col("add_time_ms"), settings.window_ms).alias("window_start"),
             F.col("userId").alias("user_id"),
@@ -43,19 +48,20 @@ def access_increments(log: DataFrame, settings: Settings = Settings()) -> DataFr
             "accessFlow",
             "dealCount",
             "add_time_ms",
-            "userLogo",
-            "userProject",
-            "apiType",
-            "chargeType",
+            *EARLIEST,
         )
-        .groupBy(*INCREMENT_KEYS)
+        .groupBy(*INCREMENT_KEYS, *EARLIEST)
         .agg(
             F.count(F.lit(1)).alias("call_count"),
             F.sum("accessFlow").alias("sum_flow"),
             F.sum("dealCount").alias("sum_deal"),
-            earliest.alias("earliest"),
+            F.min("add_time_ms").alias("add_time_ms"),
         )
     )
+    grouped = summed.groupBy(*INCREMENT_KEYS).agg(
+        *[F.sum(name).alias(name) for name in ("call_count", "sum_flow", "sum_deal")],
+        F.min(F.struct("add_time_ms", *EARLIEST)).alias("earliest"),
+    )
     return _named(grouped, settings)
 
 
@@ -87,11 +93,17 @@ def access_increments_sql(
     """The same increments, asked for in SQL over the registered view."""
     grouped = spark.sql(
         f"""
-        SELECT add_time_ms - pmod(add_time_ms, {settings.window_ms}) AS window_start,
-               userId AS user_id, apiId AS api_id, appId AS app_id, status, inParam AS in_param,
-               count(1) AS call_count, sum(accessFlow) AS sum_flow, sum(dealCount) AS sum_deal,
+        SELECT window_start, userId AS user_id, apiId AS api_id, appId AS app_id, status, inParam AS in_param,
+               sum(call_count) AS call_count, sum(sum_flow) AS sum_flow, sum(sum_deal) AS sum_deal,
                min(struct(add_time_ms, userLogo, userProject, apiType, chargeType)) AS earliest
-        FROM {name}
+        FROM (
+          SELECT add_time_ms - pmod(add_time_ms, {settings.window_ms}) AS window_start,
+                 userId, apiId, appId, status, inParam, userLogo, userProject, apiType, chargeType,
+                 count(1) AS call_count, sum(accessFlow) AS sum_flow, sum(dealCount) AS sum_deal,
+                 min(add_time_ms) AS add_time_ms
+          FROM {name}
+          GROUP BY ALL
+        )
         GROUP BY ALL
         """
     )

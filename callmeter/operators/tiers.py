@@ -12,9 +12,10 @@ from callmeter.settings import Settings
 from callmeter.sources.charge_rules import tier_book
 
 # In charge_order, one window has room for this many hash values, and one
-# micro-batch for this many windows.  38 digits leave room for 10**10 batches.
-HASHES_PER_WINDOW = 10**19
-WINDOWS_PER_BATCH = 10**9
+# micro-batch for all windows since 1970, though they be milliseconds.  38
+# digits leave room for eight million batches.
+HASHES_PER_WINDOW = 2**60
+WINDOWS_PER_BATCH = 10**13
 
 
 # A price list of up to this many rules, some megabytes, is broadcast.
@@ -61,8 +62,8 @@ def match_tiers(counters: DataFrame, rules: DataFrame, settings: Settings = Sett
     """Adds ``lines``, the tiers that each increment touches, with units and amount.
 
     Increments inside the free allowance, and those of a type without tiers,
-    have null.  The price list is counted and broadcast if it is short; if it
-    is not, Spark chooses the join.
+    have null.  The price list is counted and broadcast if it is short; a long
+    one is joined by charge type and salt.
     """
     prev, new = F.col("counter_prev"), F.col("counter_new")
     touched = F.when(~F.col("is_free"), _overlapping(F.col("tiers"), prev, new))
@@ -82,10 +83,16 @@ def match_tiers(counters: DataFrame, rules: DataFrame, settings: Settings = Sett
 
     book = tier_book(rules)
     if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
-        book = F.broadcast(book)
+        joined = counters.join(F.broadcast(book), "charge_type", "left")
+    else:
+        # There are few charge types, so a long list is repeated for every
+        # salt and the increments of a type are dealt over the salts.
+        salts = int(counters.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        book = book.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        salt = F.pmod(F.xxhash64("window_start", "seq_hash"), F.lit(salts)).cast("int")
+        joined = counters.withColumn("salt", salt).join(book, ["charge_type", "salt"], "left").drop("salt")
     return (
-        counters.join(book, "charge_type", "left")
-        .withColumn("touched", touched)
+        joined.withColumn("touched", touched)
         .withColumn("lines", F.transform("touched", line))
         .drop("tiers", "touched")
     )
@@ -95,9 +102,9 @@ def tier_lines(matched: DataFrame) -> DataFrame:
     """One row per charged increment and tier; one without tier where none matches."""
     return (
         matched.filter(~F.col("is_free"))
-        .select("*", F.explode_outer("lines").alias("line"))
+        .select(*[name for name in matched.columns if name != "lines"], F.explode_outer("lines").alias("line"))
         .select("*", "line.*")
-        .drop("line", "lines")
+        .drop("line")
     )
 
 
@@ -117,7 +124,7 @@ def increment_charges(
     first_of_batch = Decimal(batch_id * WINDOWS_PER_BATCH * HASHES_PER_WINDOW)
     order = (
         window * F.lit(Decimal(HASHES_PER_WINDOW))
-        + F.col("seq_hash").cast("decimal(20,0)")
+        + F.col("seq_hash").cast("decimal(19,0)")
         + F.lit(first_of_batch)
     )
     last_line = F.get("lines", F.size("lines") - 1)

@@ -7,7 +7,7 @@ lookup as a range join, running totals as plain windows over whole keys.
 from __future__ import annotations
 
 from callmeter.schema import ACCESS_FIELDS
-from callmeter.sources.workload import SAMPLE_RULES
+from callmeter.sources.workload import FINE_RULES, SAMPLE_RULES
 
 ALLOWANCE = 500
 
@@ -114,13 +114,17 @@ chargeable AS (
   WHERE api_type = 1 AND status = 1 AND NOT project_free AND user_id NOT IN ('-1', '-', '1')
 )"""
 
-_RULES = f"""
+def _rules(rules: tuple) -> str:
+    return f"""
 charge_rule(id, spend_type, unit_price, is_discount, discount, lower_limit, upper_limit, status) AS (
   SELECT CAST(a AS BIGINT), CAST(b AS INTEGER), CAST(c AS DOUBLE), CAST(d AS INTEGER),
          CAST(e AS BIGINT), CAST(f AS BIGINT), CAST(g AS BIGINT), CAST(h AS INTEGER)
-  FROM (VALUES {", ".join(str(rule) for rule in SAMPLE_RULES)}) AS t(a, b, c, d, e, f, g, h)
+  FROM (VALUES {", ".join(map(str, rules))}) AS t(a, b, c, d, e, f, g, h)
 )"""
 
+
+_RULES = _rules(SAMPLE_RULES)
+
 _KEY = "user_id, user_logo, user_project, api_id, charge_type"
 _ORDER = "window_start, seq_hash, app_id, in_param"
 _INCREMENT = (
@@ -185,7 +189,7 @@ def _lines(spend_types: str = "1, 2, 3") -> str:
     return f"""
 touched AS (
   SELECT c.*, r.id AS charge_id, r.lower_limit, r.upper_limit,
-         CAST(CAST(r.unit_price AS DECIMAL(16,6)) * CAST(r.discount AS DECIMAL(5,0)) * 0.01 AS DECIMAL(18,8)) AS rate
+         CAST(CAST(r.unit_price AS DECIMAL(17,10)) * CAST(r.discount AS DECIMAL(5,0)) * 0.01 AS DECIMAL(19,12)) AS rate
   FROM counters c LEFT JOIN charge_rule r
     ON r.spend_type = c.charge_type AND r.spend_type IN ({spend_types}) AND r.status = 1
    AND r.lower_limit <= c.counter_new AND r.upper_limit >= c.counter_prev + 1
@@ -195,7 +199,7 @@ touched AS (
 
 _UNITS = """
 lines AS (
-  SELECT *, CAST(CAST(units AS DECIMAL(19,0)) * rate AS DECIMAL(38,8)) AS amount
+  SELECT *, CAST(CAST(units AS DECIMAL(18,0)) * rate AS DECIMAL(38,12)) AS amount
   FROM (SELECT *, CASE WHEN charge_id IS NOT NULL
                        THEN least(counter_new, upper_limit) - greatest(counter_prev, lower_limit - 1) END AS units
         FROM touched)
@@ -207,7 +211,7 @@ walked AS (
   FROM touched
 ),
 lines AS (
-  SELECT *, CAST(CAST(units AS DECIMAL(19,0)) * rate AS DECIMAL(38,8)) AS amount
+  SELECT *, CAST(CAST(units AS DECIMAL(18,0)) * rate AS DECIMAL(38,12)) AS amount
   FROM (SELECT *,
           CASE WHEN charge_id IS NULL THEN NULL ELSE CASE charge_type
             WHEN 2 THEN
@@ -232,7 +236,7 @@ sums AS (
   FROM lines GROUP BY {_INCREMENT}
 ),
 rounded AS (
-  SELECT *, CAST(floor(CAST(coalesce(money, 0) AS DECIMAL(30,8)) + 0.5) AS BIGINT) AS whole FROM sums
+  SELECT *, CAST(floor(CAST(coalesce(money, 0) AS DECIMAL(37,12)) + 0.5) AS BIGINT) AS whole FROM sums
 ),
 charges AS (
   SELECT c.*, CASE WHEN c.is_free THEN 0 ELSE c.call_count END AS access_count,
@@ -301,11 +305,12 @@ ORACLE_SQL: dict[str, str] = {
 SELECT CASE kind WHEN 0 THEN substr(line, 1, length(line) - 1)
                  WHEN 1 THEN regexp_replace(line, '"appId":([0-9]+)', '"appId":"x\\1"')
                  WHEN 2 THEN regexp_replace(line, '"dealCount":', '"dealcount":')
-                 ELSE regexp_replace(line, '"accessFlow":[0-9]+', '"accessFlow":" "') END AS value,
-       CASE kind WHEN 0 THEN 'malformed' WHEN 1 THEN 'not a number: appId'
-                 WHEN 2 THEN 'missing dealCount' ELSE 'not a number: accessFlow' END AS reject_reason
+                 WHEN 3 THEN regexp_replace(line, '"accessFlow":[0-9]+', '"accessFlow":" "')
+                 WHEN 4 THEN line || line ELSE line || ' junk' END AS value,
+       CASE kind WHEN 1 THEN 'not a number: appId' WHEN 2 THEN 'missing dealCount'
+                 WHEN 3 THEN 'not a number: accessFlow' ELSE 'malformed' END AS reject_reason
 FROM (SELECT CAST({_LINE} AS VARCHAR) AS line, "dealCount" % 32 AS kind FROM access_log)
-WHERE kind < 4""",
+WHERE kind < 6""",
     ),
     "access_log_rowkey": _with(
         _BILLING_LOG,
@@ -405,6 +410,13 @@ FROM touched""",
         _UNITS_COMPAT,
         select=f"SELECT {_INCREMENT}, charge_id, units, CAST(amount AS DOUBLE) AS amount FROM lines",
     ),
+    "fine_prices": _with(
+        *_COUNTED,
+        _rules(FINE_RULES),
+        _lines(),
+        _UNITS,
+        select=f"SELECT {_INCREMENT}, charge_id, units, CAST(amount AS VARCHAR) AS amount FROM lines",
+    ),
     "increment_charges": _with(*_PRICED, select=f"SELECT {_CHARGE} FROM charges"),
     "increment_charges_compat": _with(*_PRICED_COMPAT, select=f"SELECT {_CHARGE} FROM charges"),
     "missing_charge_rule": _with(

@@ -20,6 +20,7 @@ from callmeter.sources.access_log import stream_lines
 from callmeter.sources.charge_rules import active_rules
 from callmeter.sources.stored import new_folder
 from callmeter.sources.workload import (
+    FINE_RULES,
     billing_log,
     damaged_lines,
     events_log,
@@ -198,6 +199,14 @@ def tier_charges_compat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fine_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tier charges at prices far below a millionth, to the last digit."""
+    chargeable = chargeable_log(billing_log(spark, sf_dir), SETTINGS)
+    rules = sample_rules(spark, rules=FINE_RULES)
+    lines = tiers.tier_lines(tiers.match_tiers(counted(chargeable, SETTINGS), rules, SETTINGS))
+    return lines.select(*INCREMENT, "charge_id", "units", F.col("amount").cast("string").alias("amount"))
+
+
 def _charges(
     spark: SparkSession, sf_dir: str, settings: Settings = SETTINGS, spend_types=(1, 2, 3)
 ) -> DataFrame:
@@ -316,6 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tier_matches": tier_matches,
     "tier_charges": tier_charges,
     "tier_charges_compat": tier_charges_compat,
+    "fine_prices": fine_prices,
     "increment_charges": increment_charges,
     "increment_charges_compat": increment_charges_compat,
     "missing_charge_rule": missing_charge_rule,

@@ -28,13 +28,8 @@ ACCESS_FIELDS = (
 
 FIELD_NAMES = [name for name, _, _ in ACCESS_FIELDS]
 
-CORRUPT = "_corrupt"
-
 # Every field is read as text first, so that "1" and 1 are both accepted.
-RAW_RECORD = T.StructType(
-    [T.StructField(name, T.StringType()) for name in FIELD_NAMES]
-    + [T.StructField(CORRUPT, T.StringType())]
-)
+RAW_RECORD = T.StructType([T.StructField(name, T.StringType()) for name in FIELD_NAMES])
 
 # Grouping keys of one increment.
 INCREMENT_KEYS = ["window_start", "user_id", "api_id", "app_id", "status", "in_param"]
@@ -125,7 +120,53 @@ LEDGER_TABLES = {
             T.StructField("access_month", T.StringType()),
         ]
     ),
+    # One row per measure; the other columns are the same in all rows of an entry.
     "batches": T.StructType(
-        [T.StructField("measure", T.StringType()), T.StructField("row_count", T.LongType())]
+        [
+            T.StructField("batch_id", T.LongType()),
+            T.StructField("attempt", T.StringType()),
+            T.StructField("written", T.LongType()),
+            T.StructField("stream", T.StringType()),
+            T.StructField("stream_batch", T.LongType()),
+            T.StructField("tables", T.ArrayType(T.StringType())),
+            T.StructField("months", T.ArrayType(T.StringType())),
+            T.StructField("measure", T.StringType()),
+            T.StructField("row_count", T.LongType()),
+        ]
+    ),
+    # Sums of the batches since the snapshot before.
+    "daily_increments": T.StructType(
+        [
+            T.StructField("user_id", T.StringType()),
+            T.StructField("user_logo", T.StringType()),
+            T.StructField("user_project", T.StringType()),
+            T.StructField("api_id", T.LongType()),
+            T.StructField("app_id", T.LongType()),
+            T.StructField("access_day", T.StringType()),
+            T.StructField("access_count", T.LongType()),
+            T.StructField("success_count", T.LongType()),
+            T.StructField("access_flow", T.LongType()),
+            T.StructField("deal_count", T.LongType()),
+        ]
+    ),
+    "daily_charges": T.StructType(
+        [
+            T.StructField("user_id", T.StringType()),
+            T.StructField("user_logo", T.StringType()),
+            T.StructField("user_project", T.StringType()),
+            T.StructField("api_id", T.LongType()),
+            T.StructField("charge_type", T.IntegerType()),
+            T.StructField("access_day", T.StringType()),
+            T.StructField("access_month", T.StringType()),
+            T.StructField("access_count", T.LongType()),
+            T.StructField("charge_id", T.LongType()),
+            T.StructField("access_money", T.DoubleType()),
+            T.StructField("access_flow", T.LongType()),
+            T.StructField("deal_count", T.LongType()),
+            T.StructField("charge_order", T.DecimalType(38, 0)),
+        ]
     ),
+    # Charged totals of whole lifetimes, and of the months that a snapshot wrote.
+    "totals_life": T.StructType([f for f in CHARGED_TOTALS.fields if f.name != "access_month"]),
+    "totals_month": CHARGED_TOTALS,
 }

@@ -23,8 +23,14 @@ SAMPLE_RULES = (
 )
 
 
-def sample_rules(spark: SparkSession, spend_types: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    rows = ", ".join(str(rule) for rule in SAMPLE_RULES if rule[1] in spend_types)
+# The same tiers at prices of up to ten decimals.
+FINE_RULES = tuple((*rule[:2], float(f"{rule[2]}e-7"), *rule[3:]) for rule in SAMPLE_RULES)
+
+
+def sample_rules(
+    spark: SparkSession, spend_types: tuple[int, ...] = (1, 2, 3), rules: tuple = SAMPLE_RULES
+) -> DataFrame:
+    rows = ", ".join(str(rule) for rule in rules if rule[1] in spend_types)
     return spark.sql(
         f"""
         SELECT CAST(id AS BIGINT) AS id, CAST(spend_type AS INT) AS spend_type,
@@ -137,7 +143,7 @@ def json_lines(log: DataFrame, *keep: str) -> DataFrame:
 
 
 def damaged_lines(log: DataFrame) -> DataFrame:
-    """JSON lines of which one in eight is broken, in one of four ways."""
+    """JSON lines of which some are broken, in one of six ways."""
     kind = F.col("dealCount") % 32
     line = F.col("line")
     return log.select(
@@ -147,6 +153,8 @@ def damaged_lines(log: DataFrame) -> DataFrame:
         .when(F.col("kind") == 1, F.regexp_replace(line, '"appId":([0-9]+)', '"appId":"x$1"'))
         .when(F.col("kind") == 2, F.regexp_replace(line, '"dealCount":', '"dealcount":'))
         .when(F.col("kind") == 3, F.regexp_replace(line, '"accessFlow":[0-9]+', '"accessFlow":" "'))
+        .when(F.col("kind") == 4, F.concat(line, line))
+        .when(F.col("kind") == 5, F.concat(line, F.lit(" junk")))
         .otherwise(line)
         .alias("value"),
         "log_id",

@@ -70,9 +70,14 @@ def test_row_counts_per_window(spark):
     assert sorted(r.row_count for r in df.collect()) == [1, 2]
 
 
-def test_increments_shuffle_once_and_filter_early(spark):
-    """One exchange, and the filter on a grouping key sits below it."""
-    df = metering.access_increments(log(spark, (0, "a", 1, 1, 1, 1)), Settings()).filter("status = 1")
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1
-    assert plan.index("Exchange") < plan.index("Filter")
+@pytest.mark.parametrize("sql", [False, True])
+def test_raw_records_are_hashed_not_sorted_and_filtered_early(spark, sql):
+    """Below the first exchange there is no sort, and there is the filter on a grouping key."""
+    rows = log(spark, (0, "a", 1, 1, 1, 1))
+    if sql:
+        metering.register_log(rows)
+    df = metering.access_increments_sql(spark) if sql else metering.access_increments(rows, Settings())
+    plan = df.filter("status = 1")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    below = plan[plan.rindex("Exchange hashpartitioning") :]
+    assert "Sort" not in below and "HashAggregate" in below and "Filter" in below

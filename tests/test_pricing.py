@@ -1,5 +1,6 @@
 import random
 from dataclasses import replace
+from decimal import Decimal
 
 import pytest
 from billing_rows import increments, priced_unit_by_unit, rules
@@ -12,6 +13,7 @@ from callmeter.operators.chargeable import chargeable_increments, free_by_projec
 from callmeter.operators.running import running_charge_totals
 from callmeter.plans.billing import counted, priced
 from callmeter.settings import Settings
+from callmeter.sources.charge_rules import unfit_rules
 
 TEN_FREE = Settings(free_allowance=10)
 NONE_FREE = Settings(free_allowance=0)
@@ -187,6 +189,29 @@ def test_no_rule_is_billed_with_nothing_and_reported(spark):
     assert tiers.missing_charge_rule(charges).count() == 1
 
 
+def test_small_prices_are_exact(spark):
+    tiny = rules(spark, (1, 2, 0.0000004, 50, 1, 10**9))
+    matched = tiers.match_tiers(counted(increments(spark, [("u", 2, 0, 7, 0, 1)]), NONE_FREE), tiny, NONE_FREE)
+    assert tiers.tier_lines(matched).first().amount == Decimal("0.0000014")
+    # Ten million calls at half of it are two units.
+    charges = priced(increments(spark, [("u", 2, 0, 10_000_000, 0, 1)]), tiny, NONE_FREE)
+    assert charges.first().access_money == 2.0
+
+
+def test_prices_with_too_many_digits_are_reported_and_not_rounded(spark):
+    odd = rules(spark, (1, 2, 1 / 3, 100, 1, 9), (2, 2, 0.25, 100, 10, 99))
+    assert [r.id for r in unfit_rules(odd).collect()] == [1]
+    with pytest.raises(Exception, match="too many digits: 1"):
+        priced(increments(spark, [("u", 2, 0, 4, 0, 1)]), odd, NONE_FREE).collect()
+
+
+def test_rule_order_of_a_later_batch_is_above_all_windows(spark):
+    millis = replace(NONE_FREE, window_ms=1)
+    first = priced(increments(spark, [("u", 2, 9000, 1, 0, 1)]), tier_rows(spark), millis, batch_id=0)
+    later = priced(increments(spark, [("u", 2, 0, 1, 0, 1)]), tier_rows(spark), millis, batch_id=1)
+    assert first.first().charge_order < later.first().charge_order
+
+
 def test_inactive_rules_are_ignored(spark):
     both = rules(spark, (1, 2, 1, 100, 1, 99)).unionAll(
         rules(spark, (2, 2, 50, 100, 1, 99)).withColumn("status", F.lit(0))
