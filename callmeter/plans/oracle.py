@@ -295,6 +295,26 @@ _EVENT_INCREMENTS = (_EVENTS_LOG, _INCREMENTS)
 _USER_USAGE = f"""SELECT user_id, user_logo, user_project, api_id, app_id, access_day, {_USAGE}
 FROM measures GROUP BY ALL"""
 
+def _sliced(sql: str, cuts: tuple[int, ...]) -> str:
+    """The same bill when increments are cut at some times, also inside a window."""
+    slices = " + ".join(f"CAST(add_time_ms >= {cut} AS BIGINT)" for cut in cuts)
+    window = "SELECT add_time_ms // 60000 * 60000 AS window_start, \"userId\""
+    order = "CAST(c.window_start // 60000 AS HUGEINT)"
+    for old, new in (
+        (window, window.replace("SELECT", f"SELECT {slices} AS slice,")),
+        ("GROUP BY 1, 2, 3, 4, 5, 6)", "GROUP BY 1, 2, 3, 4, 5, 6, 7)"),
+        (_ORDER, f"slice, {_ORDER}"),
+        (_INCREMENT, f"slice, {_INCREMENT}"),
+        (order, f"(CAST(slice AS HUGEINT) * 1000000000 + c.window_start // 60000)"),
+    ):
+        assert old in sql
+        sql = sql.replace(old, new)
+    return sql
+
+
+# Two cuts, each thirty seconds into a window.
+_SPLIT_CUTS = (865814430000, 937785630000)
+
 ORACLE_SQL: dict[str, str] = {
     "access_log_parse": _with(
         _BILLING_LOG, select=f"SELECT log_id, {_QUOTED}, add_time_ms FROM access_log"
@@ -459,4 +479,13 @@ WHERE access_month >= '1998-07' GROUP BY ALL""",
     "stream_charging": _with(
         *_PRICED, select=f"SELECT {_KEY}, access_month, {_SUMS} FROM charges GROUP BY ALL"
     ),
+    "stream_archive": _with(
+        _BILLING_LOG,
+        _KEYED,
+        _SPARSE_ROWS,
+        select=f"SELECT rowkey, {_LATEST} FROM sparse GROUP BY rowkey",
+    ),
+    "stream_charging_split": _sliced(
+        _with(*_PRICED, select=f"SELECT {_KEY}, access_month, {_SUMS} FROM charges GROUP BY ALL"), _SPLIT_CUTS
+    ),
 }

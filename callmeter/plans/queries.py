@@ -28,7 +28,7 @@ from callmeter.sources.workload import (
     sample_rules,
 )
 from callmeter.streaming.jobs import start_metering
-from callmeter.streaming.ledger import Ledger, result_table
+from callmeter.streaming.ledger import Ledger, archived_records, result_table
 
 SETTINGS = Settings()
 COMPAT = replace(SETTINGS, compat=True)
@@ -288,6 +288,27 @@ def _streamed(
     return ledger
 
 
+def stream_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The archive kept by the streaming job, with several puts of one row key in one slice.
+
+    All records of a row key lie in one file, in the order of their ids.
+    """
+    log = archive.row_keys(billing_log(spark, sf_dir))
+    in_order = log.repartition("rowkey").sortWithinPartitions("rowkey", "log_id")
+    ledger = _streamed(spark, in_order, [utc_ms(1997, 6, 10)], rules=None)
+    return archived_records(spark, ledger)
+
+
+# Cuts inside a window of sixty seconds, thirty seconds after it began.
+SPLIT_CUTS = (utc_ms(1997, 6, 9) + 30_000, utc_ms(1999, 9, 20) + 30_000)
+
+
+def stream_charging_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly bills from the streaming job when micro-batches end inside windows."""
+    ledger = _streamed(spark, billing_log(spark, sf_dir), [*SPLIT_CUTS], sample_rules(spark))
+    return result_table(spark, ledger, "user_charging_month")
+
+
 def stream_access_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Usage statistics from the streaming job, fed in slices of ten days."""
     cuts = [utc_ms(2024, 1, 11), utc_ms(2024, 1, 21)]
@@ -336,6 +357,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "charged_totals_lifetime": charged_totals_lifetime,
     "charged_totals_month": charged_totals_month,
     "resumed_charging_month": resumed_charging_month,
+    "stream_archive": stream_archive,
     "stream_access_stats": stream_access_stats,
     "stream_charging": stream_charging,
+    "stream_charging_split": stream_charging_split,
 }
