@@ -58,24 +58,32 @@ def in_files(docs: DataFrame) -> DataFrame:
     return docs
 
 
-def placed(docs: DataFrame, file_name: str = "file_key", row_name: str = "file_row") -> DataFrame:
-    """Adds the place of every row, its file and its number there.
+PLACE = ("file_key", "file_row")
+
+
+def placed(docs: DataFrame, *columns: str | Column, names: tuple[str, str] = PLACE) -> DataFrame:
+    """Some columns and the place of every row, its file and its number there.
 
     Unlike a number given by Spark, the place of a row of a table in files is
     the same whenever and however split the table is read.
     """
     return docs.select(
-        "*",
-        F.xxhash64("_metadata.file_path").alias(file_name),
-        F.col("_metadata.row_index").alias(row_name),
+        *columns,
+        F.xxhash64("_metadata.file_path").alias(names[0]),
+        F.col("_metadata.row_index").alias(names[1]),
     )
 
 
 def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """The rows of a table in files but those whose places are listed, with the same columns."""
-    names = [fresh_name(docs, "file_key"), fresh_name(docs, "file_row")]
-    listed = dropped.select(F.col("file_key").alias(names[0]), F.col("file_row").alias(names[1]))
-    return placed(docs, *names).join(listed, names, "left_anti").drop(*names)
+    names = place_names(docs)
+    listed = dropped.select(*(F.col(own).alias(name) for own, name in zip(PLACE, names)))
+    return placed(docs, "*", names=names).join(listed, [*names], "left_anti").drop(*names)
+
+
+def place_names(docs: DataFrame) -> tuple[str, str]:
+    """Names for the place that none of the table's columns has."""
+    return fresh_name(docs, PLACE[0]), fresh_name(docs, PLACE[1])
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,5 +101,16 @@ def drawn(rows: DataFrame, key: Column, most: int, total: int) -> DataFrame:
     return rows.withColumn(name, key).filter(F.col(name) < bound).orderBy(name, "doc_id").limit(most).drop(name)
 
 
+# Rows that go to a Python worker at once, so that long texts need little memory.
+ROWS_AT_ONCE = 1000
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to ROWS_AT_ONCE rows; lower ones stay."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= ROWS_AT_ONCE:
+        spark.conf.set(name, ROWS_AT_ONCE)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -37,43 +37,51 @@ class DigestIndex:
     def rows(self) -> DataFrame:
         return self.spark.table(self.table)
 
-    def add(self, hashed: DataFrame, load_name: str) -> None:
-        """Appends the digests of a load that the index lacks.
-
-        Of the rows of one digest the one with the largest doc_id is noted; a
-        row without doc_id only where all are.
-        """
-        best = hashed.groupBy("digest").agg(
-            F.max("doc_id").alias("keep_id"),
-            F.coalesce(F.max_by("row", "doc_id"), F.max("row")).alias("keep_row"),
-        )
-        new = best.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
+    def add(self, digests: DataFrame, load_name: str) -> None:
+        """Appends the digests of a load, given as its summary, that the index lacks."""
+        new = digests.join(self.rows().select("digest").hint("merge"), "digest", "left_anti")
         new.select("digest", "keep_id", "keep_row", F.lit(load_name)).write.insertInto(self.table)
 
 
 def hashed_rows(docs: DataFrame) -> DataFrame:
     """doc_id, number, place and digest of every row, stored: the texts are read once."""
-    rows = numbered(placed(docs).select("doc_id", "text", "file_key", "file_row"), "row")
+    rows = numbered(placed(docs, "doc_id", "text"), "row")
     digest = F.unhex(F.sha2(text_of(), 256)).alias("digest")
     return stored(rows.select("doc_id", "row", "file_key", "file_row", digest), "digests")
 
 
-def verdicts(hashed: DataFrame, index: DigestIndex) -> DataFrame:
-    """Every row with the row that stays in its stead.
+def summary(hashed: DataFrame) -> DataFrame:
+    """One row per digest of a load: its rows and the one that stays, stored.
+
+    That is the one with the largest doc_id; one without doc_id only where all
+    are.  Stored, because Spark would else check rows instead of digests
+    against the index, and all copies of a text in one task.
+    """
+    best = hashed.groupBy("digest").agg(
+        F.max("doc_id").alias("keep_id"),
+        F.coalesce(F.max_by("row", "doc_id"), F.max("row")).alias("keep_row"),
+        F.count(F.lit(1)).alias("rows"),
+    )
+    return stored(best, "digest-summary")
+
+
+def verdicts(hashed: DataFrame, digests: DataFrame, index: DigestIndex, *loads: str) -> DataFrame:
+    """Every row of some loads, summed up in digests, with the row that stays in its stead.
 
     The facts of each digest are stored first, so that the join that hands
     them out has plain shuffles on both sides and Spark can split the
     partition of a digest that very many rows have.
     """
-    sizes = hashed.groupBy("digest").agg(F.count(F.lit(1)).alias("group_size"))
+    sizes = digests.groupBy("digest").agg(F.sum("rows").alias("group_size"))
     facts = stored(sizes.join(index.rows().hint("merge"), "digest"), "digest-facts")
+    stays = (F.col("row") == F.col("keep_row")) & F.col("load_name").isin(*loads)
     return hashed.join(facts, "digest").select(
         "doc_id",
         "file_key",
         "file_row",
         "keep_id",
         "group_size",
-        (F.col("row") == F.col("keep_row")).alias("kept"),
+        stays.alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
@@ -96,6 +104,7 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     ends = hashed.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
     middle = 0 if ends.low is None else (ends.low + ends.high) // 2
     upper = F.coalesce(F.col("doc_id") > middle, F.lit(False))
-    index.add(hashed.filter(upper), "upper")
-    index.add(hashed.filter(~upper), "lower")
-    return verdicts(hashed, index)
+    first, second = summary(hashed.filter(upper)), summary(hashed.filter(~upper))
+    index.add(first, "upper")
+    index.add(second, "lower")
+    return verdicts(hashed, first.unionByName(second), index, "upper", "lower")
