@@ -320,7 +320,7 @@ def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:
     has one.  A text that is null or has no word is linked with nothing.  An
     empty table gives no rows; columns other than doc_id and text are not read.
     """
-    docs = placed(in_files(docs)).select("doc_id", "file_key", "file_row", text_of().alias("text"))
+    docs = placed(in_files(docs), "doc_id", text_of().alias("text"))
     sketched = stored(
         numbered(docs, "row").mapInArrow(_sketch(like.words, like.k), SKETCHED), "sketches"
     )

@@ -19,7 +19,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from callmeter.llm.common import KEY_BITS, fresh_name, hash_key, in_files, numbered, placed, text_of
+from callmeter.llm.common import (
+    KEY_BITS,
+    PLACE,
+    fresh_name,
+    hash_key,
+    in_files,
+    numbered,
+    place_names,
+    placed,
+    text_of,
+)
 from callmeter.sources.stored import stored
 
 DEEPER = 8
@@ -38,7 +48,7 @@ def _prefix(depth: Column | int) -> tuple[Column, Column]:
 
 def sized_rows(docs: DataFrame) -> DataFrame:
     """doc_id, size and the two keys of every document, stored."""
-    rows = numbered(placed(docs).select("doc_id", "text", "file_key", "file_row"), "row")
+    rows = numbered(placed(docs, "doc_id", "text"), "row")
     return stored(
         rows.select(
             "doc_id",
@@ -143,9 +153,9 @@ def write_shards(docs: DataFrame, path: str, max_bytes: int) -> None:
     """Writes the documents, one folder and file per shard."""
     docs = in_files(docs)
     shard = fresh_name(docs, "shard")
-    names = [fresh_name(docs, "file_key"), fresh_name(docs, "file_row")]
+    names = place_names(docs)
     places = _sharded(sized_rows(docs), max_bytes).select(
-        F.col("file_key").alias(names[0]), F.col("file_row").alias(names[1]), F.col("shard").alias(shard)
+        *(F.col(own).alias(name) for own, name in zip(PLACE, names)), F.col("shard").alias(shard)
     )
-    rows = placed(docs, *names).join(places, names).drop(*names)
+    rows = placed(docs, "*", names=names).join(places, [*names]).drop(*names)
     rows.repartition(F.col(shard)).write.partitionBy(shard).parquet(path)

@@ -72,7 +72,7 @@ class Hasher:
         at = 0
         while at < len(starts):
             low = starts[at]
-            to = max(int(np.searchsorted(ends, low + 4 * CHUNK_BYTES, "right")), at + 1)
+            to = max(int(np.searchsorted(ends, low + CHUNK_BYTES, "right")), at + 1)
             out[at:to] = self._segment(data[low : ends[at:to].max()], starts[at:to] - low, ends[at:to] - low)
             at = to
         return out

@@ -1,0 +1,205 @@
+"""Mixing, sharding, packing and the pipeline."""
+
+import math
+from collections import Counter, defaultdict
+
+import pytest
+
+import brute
+import corpus_pipeline
+from callmeter.llm import mixing, packing, sharding
+from callmeter.llm.queries import MAX_SHARD_BYTES, QUERIES
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def table(spark, n=400):
+    """A source with a third of the rows, small ones, and one that is null."""
+    rows = []
+    for i in range(n):
+        source = "big" if i % 3 == 0 else None if i % 17 == 0 else f"s{i % 5}"
+        rows.append((i, f"word{i} " * (1 + i % 9), "en", source))
+    return rows
+
+
+def test_mixture_meets_its_quotas(spark):
+    rows = table(spark)
+    tokens = mixing.counted(brute.frame(spark, rows))
+    plan = mixing.source_plan(tokens, target_entropy=0.95, max_repeats=3.0, block_docs=16)
+    used = mixing.mixture(tokens, plan).collect()
+    quotas = {r.source: r for r in plan.collect()}
+    sizes, once = Counter(), {i for i, *_ in rows}
+    for row in used:
+        sizes[row.source] += row.n_tokens
+        once.discard(row.doc_id)
+    assert not once, "every document is used once at least"
+    assert len({(r.doc_id, r["pass"]) for r in used}) == len(used)
+    for source, quota in quotas.items():
+        assert quota.quota - 10 <= sizes[source] <= quota.quota
+    total = sum(q.weight for q in quotas.values())
+    entropy = -sum(q.weight * math.log(q.weight) for q in quotas.values())
+    repeats = max(q.quota / q.tokens for q in quotas.values())
+    assert total == pytest.approx(1) and repeats <= 3.01
+    assert entropy >= 0.949 * math.log(len(quotas)) or repeats >= 2.95
+
+
+def test_mixture_within_a_budget(spark):
+    tokens = mixing.counted(brute.frame(spark, table(spark)))
+    plan = mixing.source_plan(tokens, 0.9, 10.0, budget=700, block_docs=16)
+    assert 600 <= sum(r.n_tokens for r in mixing.mixture(tokens, plan).collect()) <= 700
+
+
+def test_mixture_of_one_source_none_or_odd_rows(spark):
+    for rows in ([], [(1, "a", None, "x")] * 4, brute.ODD_ROWS):
+        docs = brute.frame(spark, rows)
+        plan = mixing.source_plan(mixing.counted(docs), 0.98, 4.0)
+        out = mixing.mixed_documents(docs, plan)
+        assert out.schema.names == docs.schema.names
+        assert brute.ordered(r.doc_id for r in out.collect()) == brute.ordered(i for i, *_ in rows)
+
+
+def test_exponent_is_the_least_that_is_not_too_flat(spark):
+    shares = spark.createDataFrame([(0.7,), (0.2,), (0.1,)], "share double")
+
+    def entropy(exponent):
+        powers = [s**exponent for s in (0.7, 0.2, 0.1)]
+        return -sum(p / sum(powers) * math.log(p / sum(powers)) for p in powers)
+
+    found = mixing.find_exponent(shares, 0.9, 1e9)
+    assert entropy(found) <= 0.9 * math.log(3) < entropy(found - 1 / 4096)
+    limited = mixing.find_exponent(shares, 1.0, 2.0)
+    assert (0.7 / 0.1) ** (1 - limited) <= 2.0 < (0.7 / 0.1) ** (1 - limited + 1 / 4096)
+
+
+def test_shards_of_odd_rows(spark):
+    rows = brute.ODD_ROWS + [(None, "null id " * 20)] * 60 + [(77, "hot id " * 20)] * 60
+    limit = 1000
+    out = sharding.shard_documents(brute.frame(spark, rows), limit).collect()
+    size = lambda text: len((text or "").encode())
+    assert brute.ordered((r.doc_id, r.n_bytes) for r in out) == brute.ordered((i, size(t)) for i, t in rows)
+    sums, counts = Counter(), Counter()
+    for row in out:
+        sums[row.shard] += row.n_bytes
+        counts[row.shard] += 1
+        assert len(row.shard) == row.depth
+    for row in out:
+        assert (row.shard_bytes, row.shard_rows) == (sums[row.shard], counts[row.shard])
+        assert sums[row.shard] <= limit or counts[row.shard] == 1
+    names = sorted(sums)
+    assert not any(b.startswith(a) for a, b in zip(names, names[1:])), "no shard lies inside another"
+
+
+def test_shards_as_files(spark, tmp_path):
+    docs = brute.frame(spark, brute.ODD_ROWS)
+    sharding.write_shards(docs, str(tmp_path / "shards"), 2000)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert brute.ordered((r.doc_id, r.text, r.row) for r in back.collect()) == brute.ordered(
+        (i, text, "x") for i, text in brute.ODD_ROWS
+    )
+    assert back.select("shard_").distinct().count() > 1
+
+
+def test_no_shards(spark):
+    assert sharding.shard_documents(brute.frame(spark, []), MAX_SHARD_BYTES).collect() == []
+
+
+def check_packing(rows, out, capacity, per_source):
+    lengths = Counter()
+    bins = defaultdict(list)
+    for row in out:
+        lengths[row.doc_id] += row.n_tokens
+        if row.n_tokens:
+            bins[row.bin_id].append(row)
+        else:
+            assert row.bin_id is None
+    want = Counter()
+    for doc_id, text, *_ in rows:
+        want[doc_id] += len(brute.words(text))
+    assert +lengths == +want and lengths.keys() == want.keys()
+    texts = {doc_id: (text, source) for doc_id, text, _, source in rows}
+    for pieces in bins.values():
+        at = 0
+        for piece in sorted(pieces, key=lambda r: r.bin_offset):
+            assert piece.bin_offset == at
+            at += piece.n_tokens
+        assert at <= capacity
+        if len(pieces) > 1:
+            assert max(Counter(texts[p.doc_id][0] for p in pieces).values()) == 1
+            assert max(Counter(texts[p.doc_id][1] for p in pieces).values()) <= per_source
+    return bins
+
+
+def test_packing_keeps_the_conflicts(spark):
+    rows = table(spark) + [(1000 + i, "same text here", None, "copies") for i in range(150)]
+    rows += [(2000, "w " * 500, None, None), (2001, None, None, None), (2002, " \n", None, "s1")]
+    out = packing.pack_documents(brute.frame(spark, rows), capacity=64, per_source=6, group_docs=100).collect()
+    check_packing(rows, out, 64, 6)
+
+
+def test_packing_of_repeated_and_no_rows(spark):
+    out = packing.pack_documents(brute.frame(spark, [(1, "a b", None, "x")] * 3)).collect()
+    assert len({r.bin_id for r in out}) == 3
+    assert packing.pack_documents(brute.frame(spark, [])).collect() == []
+
+
+def test_best_fit_takes_the_tightest_compatible_bin():
+    # Bins after the first three items have 1, 2 and 3 tokens left.
+    assert packing.best_fit([9, 8, 7, 2, 1], [0, 0, 0, 0, 0], [1, 2, 3, 2, -1], 10, 9) == [0, 1, 2, 2, 0]
+
+
+def test_packing_query(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    rows = [(r.doc_id, r.text, r.lang, r.source) for r in docs]
+    bins = check_packing(rows, QUERIES["op9_best_fit_packing"](spark, SF_DIR).collect(), 2048, 8)
+    words = sum(len(brute.words(text)) for _, text, *_ in rows)
+    assert len(bins) <= 1.1 * words / 2048 + 5
+
+
+def brute_stages(rows):
+    """The documents that the first three stages keep, by doc_id and text."""
+    kept = [row for row in rows if row[1] and any(c.isalpha() for c in row[1])]
+    last = {}
+    for doc_id, text in kept:
+        last[text] = max(last.get(text, -math.inf), -math.inf if doc_id is None else doc_id)
+    exact = sorted(((None if i == -math.inf else i, text) for text, i in last.items()), key=repr)
+    components = brute.near_duplicates(exact, 5)
+    near, seen = [], set()
+    for (doc_id, text), (_, component) in zip(exact, components):
+        if component is None or doc_id == component:
+            near.append((doc_id, text))
+    return exact, near
+
+
+def run_stages(spark, docs):
+    results = []
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.stored(stage(spark, docs, SF_DIR), "test-stage")
+        results.append(docs)
+    return results
+
+
+def test_pipeline_stages(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    language, exact, near, mixed, packed = run_stages(spark, docs)
+    want_exact, want_near = brute_stages(rows)
+    assert brute.ordered((r.doc_id, r.text) for r in exact.collect()) == brute.ordered(want_exact)
+    assert brute.ordered((r.doc_id, r.text) for r in near.collect()) == brute.ordered(want_near)
+    for stage in (language, exact, near, mixed):
+        assert stage.columns == docs.columns
+    assert {r.doc_id for r in mixed.collect()} == {i for i, _ in want_near}
+    texts = [(r.doc_id, r.text, r.lang, r.source) for r in mixed.collect()]
+    check_packing(texts, packed.collect(), 2048, 8)
+
+
+def test_pipeline_with_odd_rows_and_columns(spark):
+    rows = [(i, text, "en", "src") for i, text in brute.ODD_ROWS] + [(4, "one", "en", "src")] * 5
+    results = run_stages(spark, brute.frame(spark, rows))
+    assert all(stage.columns == brute.SCHEMA.names for stage in results[:4])
+    texts = [r.text for r in results[1].collect()]
+    assert len(texts) == len(set(texts)) == len({t for _, t, *_ in rows if t and any(c.isalpha() for c in t)})
+    assert run_stages(spark, brute.frame(spark, []))[-1].collect() == []
+
+
+def test_pipeline_query(spark):
+    assert QUERIES["pipeline"](spark, SF_DIR).count() >= 180
