@@ -32,7 +32,7 @@ from callmeter.llm.common import (
 )
 from callmeter.sources.stored import stored
 
-DEEPER = 8
+DEEPER = 4
 
 
 def _prefix(depth: Column | int) -> tuple[Column, Column]:
