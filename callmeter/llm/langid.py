@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callmeter.llm import words as w
-from callmeter.llm.common import fresh_name, hash_key
+from callmeter.llm.common import drawn, fresh_name, hash_key
 
 UNDETERMINED = "und"
 
@@ -183,13 +183,14 @@ def _train(texts: list[tuple[bytes, int]], languages: list[str], epochs: int, se
 def fit(docs: DataFrame, max_documents: int = 1500, max_chars: int = 5000, epochs: int = 3, seed: int = 0) -> Model:
     """Learns from a bounded sample of documents with a language.
 
-    At most max_documents of those no longer than max_chars, drawn evenly by a
-    hash of doc_id; a sample that is small anyway takes longer ones too.
+    At most max_documents, drawn evenly by a hash of doc_id, of which those
+    longer than max_chars are left out.
     """
-    known = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull() & ~_held_out())
-    known = known.filter(F.length("text") <= max_chars)
-    drawn = known.orderBy(hash_key(F.lit("lang"), F.col("doc_id")), "doc_id").limit(max_documents)
-    rows = sorted((r.lang, r.text) for r in drawn.select("lang", "text").collect())
+    known = docs.filter(F.col("lang").isNotNull() & ~_held_out())
+    total = known.select("doc_id").count()
+    usable = known.filter(F.col("text").isNotNull() & (F.length("text") <= max_chars))
+    drawn_rows = drawn(usable.select("doc_id", "lang", "text"), hash_key(F.lit("lang"), F.col("doc_id")), max_documents, total)
+    rows = sorted((r.lang, r.text) for r in drawn_rows.collect())
     languages = sorted({lang for lang, _ in rows})
     if not languages:
         return Model([], np.zeros((GRAM_ROWS + LEXICON_ROWS, 0), np.float32), np.empty(0, np.uint64), np.zeros((0, 0)), np.zeros(0))
@@ -208,8 +209,8 @@ def _held_out():
 def text_probabilities(chunk: w.Chunk, hashes: np.ndarray, model: Model) -> np.ndarray:
     """Mean probability of each language over the words of each text."""
     k, n = len(model.languages), len(hashes)
-    if n == 0:
-        return np.zeros((chunk.texts, k))
+    if n == 0 or k == 0:
+        return np.zeros((chunk.texts, max(k, 1)))
     unique, firsts, word_of = np.unique(hashes, return_index=True, return_inverse=True)
     order = np.argsort(firsts)
     scores = np.empty((len(unique), k))
@@ -248,8 +249,6 @@ def _predict(shared):
             for chunk in w.chunks(batch.column("text")):
                 hashes = hasher.spans(chunk.data, chunk.starts, chunk.ends)
                 found = text_probabilities(chunk, hashes, model)
-                if found.shape[1] == 0:
-                    found = np.zeros((chunk.texts, 1))
                 best.append(found.argmax(axis=1) if len(model.languages) else np.full(chunk.texts, -1))
                 score.append(found.max(axis=1))
             lettered = np.asarray(batch.column("lettered").to_pylist(), bool)
