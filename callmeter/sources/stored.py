@@ -22,11 +22,15 @@ def scratch_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+_scopes: list[list[str]] = []
 
 
-_scopes: list[list[str]] = []
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A folder that nothing else uses; inside scratch() it is deleted with the rest."""
+    path = f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
 
 
 @contextmanager
@@ -53,7 +57,5 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    if _scopes:
-        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
