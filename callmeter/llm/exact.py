@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmeter.llm.common import in_files, numbered, placed, shuffle_partitions, text_of
-from callmeter.sources.stored import stored
+from callmeter.sources.stored import new_folder, stored
 
 
 class DigestIndex:
@@ -100,7 +100,8 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """
     spark = docs.sparkSession
     hashed = hashed_rows(in_files(docs))
-    index = DigestIndex(spark, f"digest_index_{uuid.uuid4().hex}", shuffle_partitions(spark))
+    name = f"digest_index_{uuid.uuid4().hex}"
+    index = DigestIndex(spark, name, shuffle_partitions(spark), new_folder(spark, "digest-index"))
     ends = hashed.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
     middle = 0 if ends.low is None else (ends.low + ends.high) // 2
     upper = F.coalesce(F.col("doc_id") > middle, F.lit(False))
