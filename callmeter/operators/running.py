@@ -5,10 +5,10 @@ and the deals, flow and paid calls of the month.  Totals charged earlier enter
 as rows that precede all increments, so no lookup join is needed and the
 shuffle by charge key is the only one.
 
-A key that holds a large share of the data is not summed in one task.  Its
-increments are cut into blocks that follow one another in the order of the
-key: days, or windows where a day is too large, or sixteen parts of a window,
-by the leading bits of ``seq_hash``, where a window is too large.  Totals of
+A key with more rows than one task should sum is cut into blocks that follow
+one another in the order of the key: days, or windows where a day is too large,
+or parts of a window, by as many leading bits of ``seq_hash`` as its size
+needs, where a window is too large.  Totals of
 the blocks are summed first, which takes one row per block, and the sums
 inside the blocks are then taken independently of each other.
 """
@@ -29,8 +29,8 @@ KEY_MONTH = [*CHARGE_KEY, "access_month"]
 BLOCK = ["arrival", "block_day", "block_window", "block_hash"]
 PLACE = [*KEY_MONTH, *BLOCK]
 
-# seq_hash has 60 bits; its leading four give 16 blocks per window.
-BLOCK_SHIFT = 56
+# Bits of seq_hash.
+HASH_BITS = 60
 
 
 def _before(value: Column | str, window: WindowSpec) -> Column:
@@ -106,7 +106,8 @@ def _with_blocks(rows: DataFrame, limit: int) -> DataFrame:
     """Adds the columns that name the block of each row.
 
     Each day and each window that is cut holds more than ``limit`` rows, so
-    both lists are as short as that of the heavy keys and can be broadcast.
+    both lists are short beside the rows.  They are stored, so that Spark knows
+    their sizes when it chooses the joins.
     """
     size = "block_rows"
     # Days of UTC, whatever zone the bill is made out in: they never overlap.
@@ -116,18 +117,22 @@ def _with_blocks(rows: DataFrame, limit: int) -> DataFrame:
     )
     days = windows.groupBy(*CHARGE_KEY, "block_day").agg(F.sum(size).alias(size))
     large_days = days.filter(F.col(size) > limit).drop(size).withColumn("by_window", F.lit(True))
-    large_windows = (
-        windows.filter(F.col(size) > limit).drop(size, "block_day").withColumn("by_hash", F.lit(True))
-    )
+    # Twice as many parts as would do if the hash spread the rows perfectly.
+    bits = F.ceil(F.log2(F.col(size) / max(limit, 1))).cast("int") + 1
+    large_windows = windows.filter(F.col(size) > limit).withColumn("hash_bits", F.least(bits, F.lit(HASH_BITS)))
+    large_windows = large_windows.drop(size, "block_day")
     return (
-        rows.join(F.broadcast(large_days), [*CHARGE_KEY, "block_day"], "left")
-        .join(F.broadcast(large_windows), [*CHARGE_KEY, "window_start"], "left")
+        rows.join(stored(large_days, "large-days"), [*CHARGE_KEY, "block_day"], "left")
+        .join(stored(large_windows, "large-windows"), [*CHARGE_KEY, "window_start"], "left")
         .withColumn("block_window", F.when(F.col("by_window"), F.col("window_start")).otherwise(0))
         .withColumn(
             "block_hash",
-            F.when(F.col("by_hash"), F.shiftright("seq_hash", BLOCK_SHIFT)).otherwise(0),
+            F.when(
+                F.col("hash_bits").isNotNull(),
+                F.call_function("shiftright", F.col("seq_hash"), F.lit(HASH_BITS) - F.col("hash_bits")),
+            ).otherwise(0),
         )
-        .drop("by_window", "by_hash")
+        .drop("by_window", "hash_bits")
     )
 
 
@@ -173,20 +178,11 @@ def _in_blocks(rows: DataFrame, settings: Settings, resumed: bool, limit: int) -
     )
 
 
-def heavy_keys(rows: DataFrame, settings: Settings) -> tuple[DataFrame, int] | None:
-    """Charge keys too large for one task and the limit they exceed, or None.
-
-    Each holds more than 1/heavy_key_share of the rows, so there are fewer
-    than heavy_key_share of them and the set can be broadcast.
-    """
+def heavy_keys(rows: DataFrame, settings: Settings) -> DataFrame | None:
+    """Charge keys with too many rows for one task, stored, or None."""
     per_key = rows.groupBy(*CHARGE_KEY).agg(F.count(F.lit(1)).alias("key_rows"))
-    size = per_key.agg(F.max("key_rows").alias("largest"), F.sum("key_rows").alias("total")).first()
-    if size.largest is None:
-        return None
-    limit = max(settings.heavy_key_rows, size.total // settings.heavy_key_share)
-    if size.largest <= limit:
-        return None
-    return per_key.filter(F.col("key_rows") > limit).select(*CHARGE_KEY), limit
+    keys = stored(per_key.filter(F.col("key_rows") > settings.heavy_key_rows).select(*CHARGE_KEY), "heavy-keys")
+    return None if keys.isEmpty() else keys
 
 
 def running_charge_totals(
@@ -204,8 +200,7 @@ def running_charge_totals(
     if heavy is None:
         totals = _whole_keys(rows, settings, resumed)
     else:
-        keys, limit = heavy
-        keys = F.broadcast(keys)
+        keys, limit = heavy, settings.heavy_key_rows
         light_rows = rows.join(keys, CHARGE_KEY, "left_anti")
         heavy_rows = rows.join(keys, CHARGE_KEY, "left_semi")
         totals = _whole_keys(light_rows, settings, resumed).unionByName(

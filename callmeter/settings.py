@@ -32,6 +32,5 @@ class Settings:
     compat: bool = False
 
     # A charge key is priced in blocks, not in one task, once it holds more
-    # than heavy_key_rows increments and more than 1/heavy_key_share of all.
+    # increments than this.
     heavy_key_rows: int = 1_000_000
-    heavy_key_share: int = 10_000

@@ -7,7 +7,7 @@ from billing_rows import increments, priced_unit_by_unit, rules
 from pyspark.sql import functions as F
 
 from callmeter.functions.money import round_to_even_unit
-from callmeter.operators import rollup, tiers
+from callmeter.operators import rollup, running, tiers
 from callmeter.operators.allowance import free_allowance_split
 from callmeter.operators.chargeable import chargeable_increments, free_by_project
 from callmeter.operators.running import running_charge_totals
@@ -18,7 +18,7 @@ from callmeter.sources.charge_rules import unfit_rules
 TEN_FREE = Settings(free_allowance=10)
 NONE_FREE = Settings(free_allowance=0)
 # Every key counts as heavy.
-BLOCKS = dict(heavy_key_rows=0, heavy_key_share=10**9)
+BLOCKS = dict(heavy_key_rows=0)
 
 
 def tier_rows(spark):
@@ -99,7 +99,7 @@ def test_blocks_give_the_same_totals_as_whole_keys(spark, negative, rows_per_blo
         "access_month string, access_count bigint, access_flow bigint, deal_count bigint",
     )
     whole = running_charge_totals(df, TEN_FREE, earlier)
-    settings = replace(TEN_FREE, heavy_key_rows=rows_per_block, heavy_key_share=10**9)
+    settings = replace(TEN_FREE, heavy_key_rows=rows_per_block)
     blocks = running_charge_totals(df, settings, earlier)
     columns = sorted(whole.columns)
     assert sorted(blocks.columns) == columns
@@ -107,6 +107,13 @@ def test_blocks_give_the_same_totals_as_whole_keys(spark, negative, rows_per_blo
     assert rows_of(blocks) == rows_of(whole)
 
 
+def test_no_block_of_a_crowded_window_is_over_the_limit(spark):
+    df = increments(spark, [("u", 1, 0, 1, 1, 1, app) for app in range(2000)])
+    blocks = running._with_blocks(df.withColumn("arrival", F.lit(1)), 20)
+    sizes = [r["count"] for r in blocks.groupBy(*running.PLACE).count().collect()]
+    assert sum(sizes) == 2000 and max(sizes) <= 40 and sum(size <= 20 for size in sizes) >= 0.95 * len(sizes)
+
+
 def test_only_large_keys_go_into_blocks(spark):
     rows = [("big", 1, day, 1, 1, 1) for day in range(40)] + [("small", 1, 3, 1, 1, 1)]
     df = increments(spark, rows)
