@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callmeter.llm import words as w
-from callmeter.llm.common import hash_key
+from callmeter.llm.common import drawn, hash_key
 from callmeter.sources.stored import stored
 
 WINDOW = 8
@@ -226,27 +226,32 @@ def learn_rules(
     max_rules: int = 16,
     max_conditions: int = 4,
     min_precision: float = 0.9,
-    min_covered: int = 5,
+    min_covered: int = 3,
 ) -> list[Rule]:
     """Rules for bad rows, in the order in which they were found."""
     rules: list[Rule] = []
     part = np.arange(len(bad)) % 3
     left = np.ones(len(bad), bool)
+    tried = np.zeros(len(bad), bool)  # covered by rules that were not good enough
     while len(rules) < max_rules:
-        grow, prune = left & (part > 0), left & (part == 0)
+        grow, prune = left & ~tried & (part > 0), left & (part == 0)
         if (bad & grow).sum() < min_covered:
             break
-        rule = _grow({k: v[grow] for k, v in rows.items()}, bad[grow], max_conditions)
-        rule = _prune(rule, {k: v[prune] for k, v in rows.items()}, bad[prune])
-        found = _covered(rule, rows, len(bad)) & left
-        right = (found & bad).sum()
-        if not rule or right < min_covered or right < min_precision * found.sum():
+        grown = _grow({k: v[grow] for k, v in rows.items()}, bad[grow], max_conditions)
+        if not grown:
             break
-        unseen = found & prune
-        if (unseen & bad).sum() < min_precision * unseen.sum():
-            break
-        rules.append(rule)
-        left &= ~found
+        for rule in (_prune(grown, {k: v[prune] for k, v in rows.items()}, bad[prune]), grown):
+            found = _covered(rule, rows, len(bad)) & left
+            right, unseen = (found & bad).sum(), found & prune
+            if (
+                right >= max(min_covered, min_precision * found.sum())
+                and (unseen & bad).sum() >= min_precision * unseen.sum()
+            ):
+                rules.append(rule)
+                left &= ~found
+                break
+        else:
+            tried |= _covered(grown, rows, len(bad)) & bad
     return rules
 
 
@@ -272,9 +277,9 @@ def fit(counts: DataFrame, labels: DataFrame, max_labelled: int = 20_000) -> lis
     """Learns from max_labelled rows, drawn evenly by a hash of doc_id."""
     known = labels.filter(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
     known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    drawn = known.orderBy(hash_key(F.lit("quality"), F.col("doc_id")), "doc_id").limit(max_labelled)
+    key = hash_key(F.lit("quality"), F.col("doc_id"))
     sample = (
-        counts.join(drawn, "doc_id")
+        counts.join(drawn(known, key, max_labelled, known.count()), "doc_id")
         .select("doc_id", "quality", *[column.alias(name) for name, column in measures().items()])
         .limit(2 * max_labelled)
         .toPandas()
