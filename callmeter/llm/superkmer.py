@@ -34,6 +34,9 @@ GRAM = 3
 # Places of one string in one chunk above which they travel apart from it.
 OFTEN = 16
 
+# Strings and texts overlap and repeat little, but cost more to move than to compress.
+LEVEL = 6
+
 # Text of one bucket, and of one chunk of documents.
 BUCKET_BYTES = 8 << 20
 CHUNK_BYTES = 4 << 20
@@ -120,7 +123,7 @@ ENTRY = (
 def _pack(entries: dict[str, np.ndarray], text: np.ndarray) -> bytes:
     body = b"".join([*(entries[name].astype(kind).tobytes() for name, kind in ENTRY), text.tobytes()])
     head = np.array([len(entries["row"]), len(body)], np.int64).tobytes()
-    return head + pa.compress(body, codec="zstd", asbytes=True)
+    return head + pa.Codec("zstd", compression_level=LEVEL).compress(body, asbytes=True)
 
 
 def _unpack(block: bytes) -> tuple[dict[str, np.ndarray], np.ndarray]:
@@ -335,16 +338,36 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from _resolve(blocks, hashers)
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as compressed bytes, for the way to their marks."""
+    codec = pa.Codec("zstd", compression_level=LEVEL)
+    for batch in batches:
+        raw = [text.encode() for text in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("file_key"),
+                batch.column("file_row"),
+                pa.array([len(text) for text in raw], pa.int64()),
+                pa.array([codec.compress(text, asbytes=True) for text in raw], pa.binary()),
+            ],
+            names=["file_key", "file_row", "n_bytes", "packed"],
+        )
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What is left of texts without the words of their marked windows."""
     for batch in batches:
-        marks, at = batch.column("marks"), 0
+        sizes, packed = batch.column("n_bytes").to_pylist(), batch.column("packed").to_pylist()
+        texts = [
+            pa.decompress(text, size, codec="zstd", asbytes=True).decode() for text, size in zip(packed, sizes)
+        ]
+        marks = batch.column("marks")
         counts = np.asarray(marks.value_lengths())
         flat = marks.flatten()
         starts, lengths = (flat.field(name).to_numpy() for name in ("at", "length"))
         first = np.concatenate([[0], np.cumsum(counts)])
         removed, kept = [], []
-        for chunk in w.chunks(batch.column("text"), CHUNK_BYTES):
+        for chunk in w.chunks(pa.array(texts, pa.string()), CHUNK_BYTES):
             span = slice(first[chunk.row], first[chunk.row + chunk.texts])
             base = np.repeat(chunk.first[:-1], counts[chunk.row : chunk.row + chunk.texts])
             change = np.zeros(len(chunk.starts) + 1, np.int64)
@@ -357,7 +380,6 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             data = data[stays]
             removed.append(w.per_text(chunk, gone))
             kept += [_sha(data[a : max(b - 1, a)].tobytes()) for a, b in zip(size[:-1], size[1:])]
-            at += chunk.texts
         yield pa.RecordBatch.from_arrays(
             [batch.column("row"), pa.array(np.concatenate(removed).astype(np.int64)), pa.array(kept)],
             names=["row", "n_removed", "cut_sha"],
@@ -375,7 +397,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     text are not read.
     """
     spark = docs.sparkSession
-    docs = placed(in_files(docs)).select("doc_id", "file_key", "file_row", text_of().alias("text"))
+    docs = placed(in_files(docs), "doc_id", text_of().alias("text"))
     size = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first().bytes or 0
     parts = shuffle_partitions(spark)
     # Windows that overlap are sent in strings of about three times the text.
@@ -386,25 +408,25 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     kind = lambda n: found.filter(F.col("kind") == n)
     answers = kind(4).select("key1", "key2", "least")
-    window = F.posexplode("least").alias("i", "least_id")
+    mark = lambda at, length: F.struct(at.alias("at"), length.cast("bigint").alias("length"))
+    windows = F.filter(
+        F.sequence(F.lit(0), F.size("least") - 1), lambda i: F.get(F.col("least"), i) < F.col("doc_id")
+    )
     frequent = (
         kind(2)
         .select("row", "doc_id", "at", "key1", "key2")
         .join(answers, ["key1", "key2"])
-        .select("row", "doc_id", "at", window)
-        .filter(F.col("least_id") < F.col("doc_id"))
-        .select("row", (F.col("at") + F.col("i")).alias("at"), F.lit(1).cast("bigint").alias("length"))
-    )
-    marks = (
-        kind(3)
-        .select("row", "at", "length")
-        .unionByName(frequent)
-        .groupBy("row")
-        .agg(F.collect_list(F.struct("at", "length")).alias("marks"))
+        .select("row", F.transform(windows, lambda i: mark(F.col("at") + i, F.lit(1))).alias("marks"))
+        .filter(F.size("marks") > 0)
     )
+    single = kind(3).select("row", F.array(mark(F.col("at"), F.col("length"))).alias("marks"))
+    marks = single.unionByName(frequent).groupBy("row").agg(F.flatten(F.collect_list("marks")).alias("marks"))
     marked = kind(0).select("row", "file_key", "file_row").join(marks, "row")
-    marked = docs.select("file_key", "file_row", "text").join(marked, ["file_key", "file_row"])
-    cut = marked.select("row", "text", "marks").mapInArrow(_cut, "row bigint, n_removed bigint, cut_sha string")
+    packed = docs.select("file_key", "file_row", "text").mapInArrow(
+        _squeeze, "file_key bigint, file_row bigint, n_bytes bigint, packed binary"
+    )
+    marked = packed.join(marked, ["file_key", "file_row"])
+    cut = marked.select("row", "n_bytes", "packed", "marks").mapInArrow(_cut, "row bigint, n_removed bigint, cut_sha string")
     return kind(0).select("row", "doc_id", "n_words", "sha").join(cut, "row", "left").select(
         "doc_id",
         "n_words",
