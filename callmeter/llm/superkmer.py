@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from callmeter.llm import words as w
-from callmeter.llm.common import in_files, numbered, placed, shuffle_partitions, text_of
+from callmeter.llm.common import bound_batches, in_files, numbered, placed, shuffle_partitions, text_of
 from callmeter.sources.stored import stored
 
 WINDOW = 13
@@ -39,7 +39,7 @@ LEVEL = 6
 
 # Text of one bucket, and of one chunk of documents.
 BUCKET_BYTES = 8 << 20
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 NO_ID = -(1 << 63)
 
@@ -328,12 +328,12 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names = [name for name in FOUND_ROWS.names if name in passed.schema.names]
             yield _record(FOUND_ROWS, len(passed), **{name: passed.column(name) for name in names})
         sent = batch.filter(pa.array(kind == 1))
-        for bucket, block in zip(sent.column("bucket").to_pylist(), sent.column("block").to_pylist()):
+        for bucket, packed in zip(sent.column("bucket").to_pylist(), sent.column("block")):
             if bucket != current and blocks:
                 yield from _resolve(blocks, hashers)
                 blocks = []
             current = bucket
-            blocks.append(block)
+            blocks.append(packed.as_py())
     if blocks:
         yield from _resolve(blocks, hashers)
 
@@ -397,6 +397,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     text are not read.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     docs = placed(in_files(docs), "doc_id", text_of().alias("text"))
     size = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first().bytes or 0
     parts = shuffle_partitions(spark)
