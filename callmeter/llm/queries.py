@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from callmeter.llm import chat, exact, langid, lm, mixing, neardup, packing, quality, sharding, superkmer
-from callmeter.llm.common import BLANK_RUN, documents
+from callmeter.llm.common import documents
 
 MAX_SHARD_BYTES = 32 << 20
 TARGET_ENTROPY = 0.98

@@ -1,6 +1,5 @@
 """Chat formatting, quality rules, language model and language identification."""
 
-import hashlib
 import math
 import re
 import zlib
