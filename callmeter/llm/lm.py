@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from callmeter.llm import words as w
-from callmeter.llm.common import numbered, text_of
+from callmeter.llm.common import bound_batches, numbered, text_of
 from callmeter.sources.stored import stored
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
@@ -236,6 +236,19 @@ def word_table(docs: DataFrame) -> DataFrame:
     return stored(table, "words")
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 10_000) -> Iterator[pa.RecordBatch]:
+    """Batches of some rows at least: lattices of few words cost as many steps as those of many."""
+    pending, size = [], 0
+    for batch in batches:
+        pending.append(batch)
+        size += len(batch)
+        if size >= rows:
+            yield from pa.Table.from_batches(pending).combine_chunks().to_batches()
+            pending, size = [], 0
+    if pending:
+        yield from pa.Table.from_batches(pending).combine_chunks().to_batches()
+
+
 def learn_pieces(words: DataFrame, learned_texts: int, vocabulary: str, rounds: int):
     """Pieces and their log probabilities after some rounds of re-estimation.
 
@@ -249,7 +262,7 @@ def learn_pieces(words: DataFrame, learned_texts: int, vocabulary: str, rounds:
         def expect(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             own, logs = Pieces(**shared.value[0]), shared.value[1]
             hasher, uses = lattice_hasher(), np.zeros(own.n + 257)
-            for batch in batches:
+            for batch in _gathered(batches):
                 counts = batch.column("learned").to_numpy().astype(float)
                 uses += word_lattices(batch.column("word"), counts, own, logs, hasher)[1]
             at = np.flatnonzero(uses)
@@ -272,7 +285,7 @@ def scored_words(words: DataFrame, pieces: Pieces, log_p: np.ndarray, base: tupl
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, logs = Pieces(**shared.value[0]), shared.value[1]
         hasher, names = lattice_hasher(), w.Hasher(6, lower=True)
-        for batch in batches:
+        for batch in _gathered(batches):
             text = batch.column("word")
             lengths = np.diff(np.frombuffer(text.buffers()[1], np.int32, len(text) + 1 + text.offset)[text.offset :])
             ends = np.cumsum(lengths.astype(np.int64))
@@ -368,6 +381,7 @@ def score_documents(docs: DataFrame, vocabulary: str = VOCABULARY, rounds: int =
     learn from all counts are zero.  An empty table gives no rows; columns
     other than doc_id and text are not read.
     """
+    bound_batches(docs.sparkSession)
     words = word_table(docs)
     sums = words.agg(
         F.coalesce(F.sum("learned"), F.lit(0)).alias("uses"),
