@@ -38,6 +38,9 @@ LIST_PAIRS = 64
 BLOCK_NODES = 2048
 BLOCK_SHINGLES = 2_000_000
 
+# Fixed value: flipped, it lets signed values have the order of unsigned hashes.
+SIGN = np.uint64(1 << 63)
+
 SKETCHED = "row bigint, file_key bigint, file_row bigint, doc_id bigint, n_shingles bigint, set1 bigint, set2 bigint, sketch array<bigint>"
 
 
@@ -95,7 +98,8 @@ def _sketch(n: int, k: int):
                     out[name].append((sums[first[1:]] - sums[first[:-1]]).view(np.int64))
                 rank = np.arange(len(values)) - np.repeat(first[:-1], sizes)
                 out["size"].append(sizes)
-                out["kept"].append(values[rank < k].view(np.int64))
+                # Spark sorts signed values, and the least of a union must be the least hashes.
+                out["kept"].append((values[rank < k] ^ SIGN).view(np.int64))
                 out["ends"].append(done + np.cumsum(np.minimum(sizes, k)))
                 done += int(np.minimum(sizes, k).sum())
             whole = {name: np.concatenate(parts) if parts else np.empty(0, np.int64) for name, parts in out.items()}

@@ -1,6 +1,8 @@
 """Exact and near copies, and repeated passages, against brute force."""
 
 import hashlib
+import math
+import random
 from collections import defaultdict
 
 import pytest
@@ -76,6 +78,20 @@ def test_long_lists_and_many_blocks_give_the_same_components(spark, docs, monkey
     assert brute.ordered((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute.ordered(want)
 
 
+def test_texts_that_others_extend_are_linked(spark):
+    """Sets of 65 to 150 shingles, one inside the other, similar by 0.80 to 0.84."""
+    generator, rows = random.Random(7), []
+    for pair in range(400):
+        size = generator.randint(82, 150)
+        part = math.ceil(size * generator.uniform(0.80, 0.83))
+        words = [f"w{pair}x{generator.randrange(1 << 40)}" for _ in range(size + 4)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join(words[: part + 4]))]
+    out = neardup.near_duplicates(brute.frame(spark, rows)).collect()
+    want = [(i, *rest) for (i, _), rest in zip(rows, brute.near_duplicates(rows, 5))]
+    assert all(component == i - i % 2 for i, _, component in want)
+    assert brute.ordered((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute.ordered(want)
+
+
 def test_one_row_of_a_component_stays(spark):
     rows = [(4, brute.PASSAGE)] * 5 + [(4, brute.PASSAGE + " z"), (2, None), (2, None), (None, brute.PASSAGE)]
     out = neardup.near_duplicates(brute.frame(spark, rows)).collect()
