@@ -17,11 +17,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from callmeter.llm import words as w
-from callmeter.llm.common import drawn, fresh_name, hash_key
+from callmeter.llm.common import BLANK_RUN, KEY_BITS, fresh_name, hash_key
 
 UNDETERMINED = "und"
 
@@ -31,6 +31,10 @@ LEXICON_ROWS = 1 << 16
 MAX_GRAM = 4
 CHAIN = 64
 
+# Rows drawn of a language at least, and characters of one span of a long text.
+LEAST_OF_LANGUAGE = 30
+SPAN_CHARS = 500
+
 PREDICTED = "doc_id bigint, held_out boolean, lang_pred string, score double"
 
 
@@ -180,25 +184,69 @@ def _train(texts: list[tuple[bytes, int]], languages: list[str], epochs: int, se
     return Model(languages, weights.astype(np.float32), lexicon, transitions, initial)
 
 
+def _quotas(counts: dict[str, int], most: int) -> dict[str, int]:
+    """How many rows of each language to draw: all of small ones, even shares of the rest.
+
+    About most rows together, but LEAST_OF_LANGUAGE of every language that has them.
+    """
+    quotas, left = {}, most
+    for i, (lang, n) in enumerate(sorted(counts.items(), key=lambda one: (one[1], one[0]))):
+        quotas[lang] = min(n, max(LEAST_OF_LANGUAGE, left // (len(counts) - i)))
+        left = max(0, left - quotas[lang])
+    return quotas
+
+
+def _drawn_spans(max_chars: int) -> Column:
+    """The text, or of a longer one spans drawn evenly over all of it, max_chars characters together.
+
+    Each of its equal parts gives one span at a place drawn by a hash; words cut
+    by the ends of a span are left out of it unless it has no blank.
+    """
+    spans = max(1, max_chars // SPAN_CHARS)
+    size = max_chars // spans
+    text = F.regexp_replace("text", BLANK_RUN, " ")
+    part = F.floor(F.length(text) / spans)
+
+    def span(i: Column) -> Column:
+        begin = i * part + F.pmod(F.xxhash64("doc_id", i), F.greatest(part - size + 1, F.lit(1)))
+        piece = F.substring(text, (begin + 1).cast("int"), F.lit(size))
+        inner = F.regexp_replace(piece, "^[^ ]* | [^ ]*$", "")
+        return F.when(F.length(F.btrim(inner)) > 0, inner).otherwise(piece)
+
+    pieces = F.transform(F.sequence(F.lit(0), F.lit(spans - 1)), span)
+    return F.when(F.length("text") <= max_chars, F.col("text")).otherwise(F.array_join(pieces, " "))
+
+
 def fit(docs: DataFrame, max_documents: int = 1500, max_chars: int = 5000, epochs: int = 3, seed: int = 0) -> Model:
-    """Learns from a bounded sample of documents with a language.
+    """Learns from a bounded sample of documents with a language and a word.
 
-    At most max_documents, drawn evenly by a hash of doc_id, of which those
-    longer than max_chars are left out.
+    About max_documents, shared out evenly over the languages and drawn by a
+    hash of doc_id, whatever their length.  Of a text longer than max_chars,
+    spans drawn over all of it are used.
     """
-    known = docs.filter(F.col("lang").isNotNull() & ~_held_out())
-    total = known.select("doc_id").count()
-    usable = known.filter(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-    drawn_rows = drawn(usable.select("doc_id", "lang", "text"), hash_key(F.lit("lang"), F.col("doc_id")), max_documents, total)
-    rows = sorted((r.lang, r.text) for r in drawn_rows.collect())
-    languages = sorted({lang for lang, _ in rows})
-    if not languages:
+    known = docs.filter(F.col("lang").isNotNull() & ~_held_out() & F.col("text").rlike(f"[^{BLANK_RUN[1:-2]}]"))
+    counts = {r.lang: r.n for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
         return Model([], np.zeros((GRAM_ROWS + LEXICON_ROWS, 0), np.float32), np.empty(0, np.uint64), np.zeros((0, 0)), np.zeros(0))
+    languages = sorted(counts)
+    quotas = _quotas(counts, max_documents)
+    # About twice as many rows as are drawn lie below the bound of their language and are sorted.
+    bounds = {
+        lang: (1 << KEY_BITS) if counts[lang] <= 2 * quotas[lang] else (1 << KEY_BITS) * 2 * quotas[lang] // counts[lang]
+        for lang in languages
+    }
+    limits = docs.sparkSession.createDataFrame(
+        [(lang, quotas[lang], bounds[lang]) for lang in languages], "lang string, quota bigint, bound bigint"
+    )
+    few = known.select("doc_id", "lang", "text", hash_key(F.lit("lang"), F.col("doc_id")).alias("draw"))
+    few = few.join(F.broadcast(limits), "lang").filter("draw < bound")
+    few = few.select("lang", "quota", "draw", "doc_id", _drawn_spans(max_chars).alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "doc_id", "text"))
+    drawn_rows = few.withColumn("place", place).filter("place <= quota").select("lang", "text").collect()
     numbers = {lang: i for i, lang in enumerate(languages)}
-    texts = [(text.encode(), numbers[lang]) for lang, text in rows if text.split()]
-    if not texts or len(languages) == 1:
-        size = len(languages)
-        return Model(languages, np.zeros((GRAM_ROWS + LEXICON_ROWS, size), np.float32), np.empty(0, np.uint64), np.zeros((size, size)), np.zeros(size))
+    texts = [(text.encode(), numbers[lang]) for lang, text in sorted((r.lang, r.text) for r in drawn_rows)]
+    if len(languages) == 1:
+        return Model(languages, np.zeros((GRAM_ROWS + LEXICON_ROWS, 1), np.float32), np.empty(0, np.uint64), np.zeros((1, 1)), np.zeros(1))
     return _train(texts, languages, epochs, seed)
 
 
@@ -289,8 +337,11 @@ def keep_identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The documents whose language could be told, with the columns they came with.
 
     Decided where the text is read; a document goes if identify() calls it "und".
+    Where no language could be learned, all documents with a letter stay.
     """
     model = model or fit(docs)
+    if not model.languages:
+        return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     predict = _predict(shared)
     lettered = fresh_name(docs, "lettered")

@@ -282,3 +282,25 @@ def test_languages_without_anything_to_learn(spark):
     assert langid.identify(brute.frame(spark, [])).collect() == []
     out = langid.identify(brute.frame(spark, [(1, "some words")])).collect()
     assert [(r.lang_pred, r.score) for r in out] == [("und", 0.0)]
+
+
+def test_languages_whose_texts_are_all_long(spark):
+    long = lambda i, words: " ".join(words[(i * 7 + j * j) % len(words)] for j in range(1500))
+    english, german, welsh = "the house and water".split(), "das haus und wasser".split(), "mae llwyd ddwr yng".split()
+    rows = [(i, " ".join(english) * 3, "en") for i in range(60)]
+    rows += [(100 + i, long(i, german), "de") for i in range(60)] + [(200 + i, long(i, welsh), "cy") for i in range(60)]
+    docs = brute.frame(spark, rows)
+    model = langid.fit(docs)
+    assert model.languages == ["cy", "de", "en"]
+    found = {r.doc_id: r.lang_pred for r in langid.identify(docs, model).collect()}
+    assert found == {i: lang for i, _, lang in rows}
+
+
+def test_documents_stay_where_no_language_can_be_learned(spark):
+    docs = brute.frame(spark, [(1, "some words"), (2, "12"), (3, None)])
+    assert [r.doc_id for r in langid.keep_identified(docs).collect()] == [1]
+
+
+def test_quotas_reach_every_language_and_the_promised_sum():
+    assert langid._quotas({"en": 10**6, "de": 9000, "cy": 40}, 1500) == {"cy": 40, "de": 730, "en": 730}
+    assert min(langid._quotas({f"l{i}": 100 for i in range(200)}, 1500).values()) == langid.LEAST_OF_LANGUAGE
