@@ -34,11 +34,12 @@ WORD_MARK = "▁".encode()
 # Words looked up in memory by every task; the rest meet their scores in a join.
 FREQUENT_WORDS = 1 << 17
 
-# Longer pieces of the vocabulary, mostly runs of signs, are left out.
-LONGEST_PIECE = 16
+# Bytes of a piece: no bound, the lattice is as wide as the longest usable piece.
+LONGEST_PIECE = float("inf")
 
 FLUSH_WORDS = 300_000
-BATCH_BYTES = 1 << 16
+# Bytes of the words of one batch times the width of the lattice.
+BATCH_CELLS = 1 << 20
 SMOOTHING = 0.1
 
 
@@ -174,7 +175,7 @@ def word_lattices(words: pa.Array, counts: np.ndarray | None, pieces: Pieces, lo
     out, uses, at = np.empty(len(raw)), np.zeros(pieces.n + 257), 0
     while at < len(order):
         # A batch holds words of like size, longest first.
-        room = max(1, BATCH_BYTES // int(sizes[order[at]]))
+        room = max(1, BATCH_CELLS // (pieces.longest * int(sizes[order[at]])))
         part = order[at : at + room]
         own = sizes[part]
         starts = np.concatenate([[0], np.cumsum(own)[:-1]])

@@ -165,6 +165,14 @@ def test_lattice_sums_all_segmentations(vocabulary):
     assert got == pytest.approx([brute_word(word.encode(), table, byte_p) for word in found], rel=1e-9)
 
 
+def test_long_words_can_be_one_piece(vocabulary):
+    pieces, log_p, table, _ = vocabulary
+    words = ["representation", "responsibility", "implementation"]
+    got, _ = lm.word_lattices(pa.array(words), None, pieces, log_p, lm.lattice_hasher())
+    whole = [table.get(lm.WORD_MARK + word.encode(), 0.0) for word in words]
+    assert all(0 < p <= math.exp(log) * (1 + 1e-9) for p, log in zip(whole, got))
+
+
 def test_expected_uses_are_the_derivative_of_the_likelihood(vocabulary):
     pieces, log_p, *_ = vocabulary
     found, counts = pa.array(["thing", "the"]), np.array([3.0, 2.0])
