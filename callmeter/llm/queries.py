@@ -8,8 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from callmeter.llm import chat, exact, langid, lm, mixing, neardup, packing, quality, sharding, superkmer
-from callmeter.llm.common import documents
+from callmeter.llm import (
+    chat,
+    exact,
+    langid,
+    lm,
+    mixing,
+    neardup,
+    packing,
+    periodic,
+    quality,
+    sharding,
+    superkmer,
+    whitening,
+)
+from callmeter.llm.common import BLANK_RUN, BLANKS, documents
 
 MAX_SHARD_BYTES = 32 << 20
 TARGET_ENTROPY = 0.98
@@ -214,6 +227,49 @@ def op10_super_kmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return superkmer.remove_repeats(documents(spark, sf_dir))
 
 
+def op11_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def with_planted_runs(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, by the checksum of the doc_id, repeat a part of themselves to their end."""
+    checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    tenth = F.floor(checksum / 10).cast("bigint")
+    planted = F.transform(
+        F.array(F.split(F.btrim("text", F.lit(BLANKS)), BLANK_RUN)),
+        lambda words: F.transform(
+            F.array(tenth % F.size(words)),
+            lambda a: F.transform(
+                F.array(1 + F.floor((F.size(words) - a) / (3 + tenth % 8))),
+                lambda p: F.array_join(
+                    F.transform(words, lambda word, i: F.when(i < a, word).otherwise(F.get(words, a + (i - a) % p))), " "
+                ),
+            )[0],
+        )[0],
+    )[0]
+    has_words = F.length(F.btrim("text", F.lit(BLANKS))) > 0
+    return docs.select(
+        "doc_id", F.when((checksum % 10 == 0) & has_words, planted).otherwise(F.col("text")).alias("text")
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.periodic_runs(with_planted_runs(documents(spark, sf_dir)))
+    longer = lambda a, b: a.length * b.period > b.length * a.period
+    best = F.reduce("runs", F.get("runs", 0), lambda best, run: F.when(longer(run, best), run).otherwise(best))
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run.start, run.length, run.period), F.lit("\n")))
+    return found.select("*", best.alias("best")).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("bigint").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -225,6 +281,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_extendible_sharding": op8_extendible_sharding,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_super_kmers": op10_super_kmers,
+    "op11_lanczos_whitening": op11_lanczos_whitening,
+    "op13_periodic_runs": op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 
 from pyspark.sql import types as T
@@ -148,3 +149,41 @@ def text_counts(text):
 
 def ordered(rows):
     return sorted(map(repr, rows))
+
+
+def planted(doc_id, found):
+    """The words of a document of which a tenth repeat a part of themselves."""
+    if doc_id is None or not found:
+        return found
+    h = zlib.crc32(str(doc_id).encode())
+    if h % 10:
+        return found
+    g, n = h // 10, len(found)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [word if i < a else found[a + (i - a) % p] for i, word in enumerate(found)]
+
+
+def runs_of(found, min_words=6, min_repeats=4):
+    """Maximal runs (start, length, smallest period), from the definition."""
+    out, n = [], len(found)
+    for q in range(1, n // min_repeats + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and found[j] == found[j + q]:
+                j += 1
+            length = j - i + q
+            if j > i and length >= max(min_words, min_repeats * q):
+                part = found[i : i + length]
+                if next(p for p in range(1, q + 1) if part[p:] == part[:-p]) == q:
+                    out.append((i, length, q))
+            i = max(j, i + 1)
+    return sorted(out, key=lambda run: (run[0], run[2]))
+
+
+def without_runs(found, runs):
+    gone = set()
+    for start, length, period in runs:
+        gone.update(range(start + period, start + length))
+    return " ".join(word for i, word in enumerate(found) if i not in gone)
