@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from callmeter.llm import (
     chat,
     exact,
     langid,
+    licenses,
     lm,
     mixing,
     neardup,
@@ -23,6 +25,7 @@ from callmeter.llm import (
     whitening,
 )
 from callmeter.llm.common import BLANK_RUN, BLANKS, documents
+from callmeter.llm.license_rules import LONGEST, SIGNATURES, Signature
 
 MAX_SHARD_BYTES = 32 << 20
 TARGET_ENTROPY = 0.98
@@ -231,6 +234,92 @@ def op11_lanczos_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whitened_components(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan_licenses(documents(spark, sf_dir))
+    starts = F.col("places.start")
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("bigint").alias("n_base"),
+        F.array_min(starts).cast("bigint").alias("first_word"),
+        F.array_max(starts).cast("bigint").alias("last_word"),
+        F.array_join(F.sort_array(F.array_distinct("places.label")), ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def licenses_sql(rules: Sequence[Signature], piece_words: int = licenses.PIECE_WORDS) -> str:
+    """The scan as joins: pieces of texts with rules by keyword, and detections with those that contain them."""
+    rule_rows = ", ".join(
+        f"({i}, {r.priority}, '{r.label}', {r.score}::DOUBLE, '{r.keyword.replace(' ', '  ')}', '{r.pattern}')"
+        for i, r in enumerate(rules)
+    )
+    phrase_rows = ", ".join(f"('{phrase}', '{label}', {len(phrase.split())})" for phrase, label in licenses.PHRASES)
+    spaces = lambda text: f"(length({text}) - length(replace({text}, ' ', ''))) // 2"
+    return f"""
+WITH rules(rule, priority, label, score, keyword, pattern) AS (VALUES {rule_rows}),
+phrases(phrase, label, size) AS (VALUES {phrase_rows}),
+words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'),
+                                    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+starts AS (
+  SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE list_contains(w, 'license')
+),
+places AS (
+  SELECT doc_id, i - 1 AS start, label
+  FROM starts JOIN phrases ON array_to_string(w[i : i + size - 1], ' ') = phrase
+),
+base AS (
+  SELECT doc_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels
+  FROM places GROUP BY doc_id
+),
+lows AS (
+  SELECT doc_id, w, low, greatest(low - {LONGEST}, 0) AS first
+  FROM (SELECT doc_id, w, unnest(range(0, len(w), {piece_words})) AS low FROM words)
+),
+pieces AS (
+  SELECT doc_id, low, first,
+         ' ' || array_to_string(w[first + 1 : low + {piece_words + LONGEST}], '  ') || ' ' AS piece
+  FROM lows
+),
+hits AS (
+  SELECT *, list_transform(regexp_extract_all(piece, pattern), lambda x: {spaces('x')}) AS sizes,
+         list_transform(string_split_regex(piece, pattern), lambda x: {spaces('x')}) AS gaps
+  FROM pieces JOIN rules ON contains(piece, keyword)
+),
+each_hit AS (
+  SELECT *, unnest(range(1, len(sizes) + 1)) AS i FROM hits WHERE len(sizes) > 0
+),
+detections AS (
+  SELECT doc_id, low, rule, priority, label, score, sizes[i] AS size,
+         first + list_sum(gaps[1 : i]) + coalesce(list_sum(sizes[1 : i - 1]), 0) AS start
+  FROM each_hit
+),
+strong AS (
+  SELECT doc_id, label, score
+  FROM detections AS d
+  WHERE start >= low AND start < low + {piece_words} AND NOT EXISTS (
+    SELECT 1 FROM detections AS e
+    WHERE e.doc_id = d.doc_id AND e.low = d.low AND e.start <= d.start AND e.start + e.size >= d.start + d.size
+      AND (e.priority > d.priority OR (e.priority = d.priority AND
+           (e.size > d.size OR (e.size = d.size AND e.rule < d.rule)))))
+),
+verdicts AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(score) AS score
+  FROM (SELECT doc_id, label, score FROM strong
+        UNION ALL SELECT doc_id, label, {licenses.PHRASE_SCORE}::DOUBLE FROM places)
+  GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
+FROM words LEFT JOIN base USING (doc_id) LEFT JOIN verdicts USING (doc_id)
+"""
+
+
 def with_planted_runs(docs: DataFrame) -> DataFrame:
     """Documents of which a tenth, by the checksum of the doc_id, repeat a part of themselves to their end."""
     checksum = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -282,6 +371,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_super_kmers": op10_super_kmers,
     "op11_lanczos_whitening": op11_lanczos_whitening,
+    "op12_license_scan": op12_license_scan,
     "op13_periodic_runs": op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
@@ -291,4 +381,5 @@ ORACLE_SQL: dict[str, str] = {
     "op3_chat_format": OP3_SQL,
     "op7_temperature_mixing": OP7_SQL,
     "op8_extendible_sharding": OP8_SQL,
+    "op12_license_scan": licenses_sql(SIGNATURES),
 }
