@@ -67,24 +67,24 @@ def _places(words: Column, phrase: str, label: str) -> Column:
 
 
 def _rule_book(rules: Sequence[Signature]) -> Column:
-    """The rules as one constant, grouped by their keywords."""
-    by_keyword: dict[str, list[Column]] = {}
+    """The rules as one constant, grouped by their keywords; written in SQL, which is read at once."""
+    by_keyword: dict[str, list[str]] = {}
     for order, rule in enumerate(rules):
         fields = {
-            "priority": rule.priority,
-            "order": order,
-            "label": rule.label,
-            "kind": rule.kind,
-            "score": rule.score,
-            "pattern": rule.pattern,
+            "priority": str(rule.priority),
+            "order": str(order),
+            "label": f"r'{rule.label}'",
+            "kind": f"r'{rule.kind}'",
+            "score": f"{rule.score}D",
+            "pattern": f"r'{rule.pattern}'",
         }
-        row = F.struct(*[F.lit(value).alias(name) for name, value in fields.items()])
-        by_keyword.setdefault(rule.keyword, []).append(row)
+        row = ", ".join(f"'{name}', {value}" for name, value in fields.items())
+        by_keyword.setdefault(rule.keyword, []).append(f"named_struct({row})")
     groups = [
-        F.struct(F.lit(keyword.replace(" ", "  ")).alias("keyword"), F.array(*rows).alias("rules"))
+        f"named_struct('keyword', r'{keyword.replace(' ', '  ')}', 'rules', array({', '.join(rows)}))"
         for keyword, rows in by_keyword.items()
     ]
-    return F.array(*groups)
+    return F.expr(f"array({', '.join(groups)})")
 
 
 def _matches(piece: Column, first: Column, rule: Column) -> Column:
