@@ -1,7 +1,7 @@
 """Signature rules of licences, written by hand.
 
-A rule stands on one line: the label it gives, its kind, a keyword without
-which it cannot match, and a regular expression over the words of a text.
+A rule stands on one line: the label it gives, its kind, words of which one is
+in all that it matches, and a regular expression over the words of a text.
 Words are lower-case runs of letters and digits, one space apart, so
 "Apache License, Version 2.0" is read as "apache license version 2 0".  Every
 repetition in a rule is bounded.
@@ -26,9 +26,13 @@ LONGEST = 40
 class Signature:
     label: str
     kind: str
-    keyword: str
+    words: str
     regex: str
 
+    @property
+    def keywords(self) -> tuple[str, ...]:
+        return tuple(self.words.split("/"))
+
     @property
     def priority(self) -> int:
         return KINDS[self.kind][0]
@@ -120,7 +124,7 @@ gpl | text | freedom | the licenses for most software are designed to take away
 gpl-3.0 | text | copyleft | the gnu general public license is a free copyleft license for software and other kinds of works
 gpl-3.0 | text | convey | to convey a work means any kind of propagation that enables other parties to make or receive copies
 gpl | text | warranty | there is no warranty for the program to the extent permitted by applicable law
-lgpl-2.1 | text | lesser | this license the lesser general public license applies to some specially designated software packages
+lgpl-2.1 | text | license/licence | this license the lesser general public license applies to some specially designated software packages
 lgpl-3.0 | text | incorporates | this version of the gnu lesser general public license incorporates the terms and conditions of version 3
 agpl-3.0 | text | cooperation | specifically designed to ensure cooperation with the community in the case of network server software
 agpl-3.0 | text | interacting | your modified version must prominently offer all users interacting with it remotely through a computer network
@@ -140,7 +144,7 @@ mpl-1.0 | text | mozilla | the contents of this file are subject to the mozilla
 epl-1.0 | text | eclipse | this program and the accompanying materials are made available under the terms of the eclipse public license v1 0
 epl-2.0 | text | eclipse | this program and the accompanying materials are made available under the terms of the eclipse public license (v )?2 0
 epl-2.0 | text | secondary | this source code may also be made available under the following secondary licenses
-cddl-1.0 | text | development | the contents of this file are subject to the terms of the common development and distribution license
+cddl-1.0 | text | license/licence | the contents of this file are subject to the terms of the common development and distribution license
 cpl-1.0 | text | accompanying | the accompanying program is provided under the terms of this common public license
 cc0-1.0 | text | waives | affirmer hereby overtly fully permanently irrevocably and unconditionally waives abandons and surrenders
 cc-by | text | redistribute | you are free to share copy and redistribute the material in any medium or format
@@ -160,7 +164,7 @@ postgresql | text | agreement | permission to use copy modify and distribute thi
 python-2.0 | text | psf | psf hereby grants licensee a nonexclusive royalty free world wide license
 openssl | text | openssl | this product includes software developed by the openssl project
 ofl-1.1 | text | font | the font software may not be sold by itself|neither the font software nor any of its individual components in original or modified versions may be sold by itself
-ofl-1.1 | text | font | this font software is licensed under the sil open font license version 1 1
+ofl-1.1 | text | license/licence | this font software is licensed under the sil open font license version 1 1
 odbl-1.0 | text | database | you are free to share create and adapt this database as long as you attribute
 upl-1.0 | text | obtaining | any person obtaining a copy of this software associated documentation and or data collectively the software free of charge
 ncsa | text | deal | to deal with the software without restriction including without limitation the rights to use copy modify merge
@@ -170,7 +174,7 @@ sspl-1.0 | text | functionality | if you make the functionality of the program o
 elastic-2.0 | text | hosted | you may not provide the software to third parties as a hosted or managed service
 commons-clause | text | sell | the grant of rights under the license will not include and the license does not grant to you the right to sell the software
 gfdl | text | invariant | with no invariant sections( with)? no front cover texts and( with)? no back cover texts
-gfdl | text | documentation | permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license
+gfdl | text | license/licence | permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license
 ijg | text | jpeg | this software is based in part on the work of the independent jpeg group
 libpng | text | png | the png reference library is supplied as is
 curl | text | daniel | copyright c( \S+){1,4} daniel stenberg( \S+){0,8} all rights reserved permission to use copy modify
@@ -179,13 +183,13 @@ beerware | text | beer | you can buy me a beer in return
 icu | text | unicode | unicode data files and software
 w3c | text | licensee | by obtaining using and or copying this work you the licensee agree that you have read understood
 zpl-2.1 | text | zope | zope public license zpl version 2 1 a copyright notice accompanies this license document
-ecl-2.0 | text | educational | licensed under the educational community license version 2 0
+ecl-2.0 | text | license/licence | licensed under the educational community license version 2 0
 vim | text | vim | there are no restrictions on distributing unmodified copies of vim
 proprietary | text | proprietary | this software is( the)? (confidential and )?proprietary( information)? (of|and confidential)
 proprietary | text | unauthorized | unauthorized (copying|reproduction|use|distribution)( \S+){0,12} is strictly prohibited
 proprietary | text | reproduced | no part of this( \S+){1,4} may be reproduced( \S+){0,16} without( the)?( prior)?( express)?( written)? permission
-mit | notice | mit | (licensed|released|distributed|available|published) under( the)?( terms of the)? mit licen[sc]e
-mit | notice | mit | under the terms of the mit licen[sc]e
+mit | notice | license/licence | (licensed|released|distributed|available|published) under( the)?( terms of the)? mit licen[sc]e
+mit | notice | license/licence | under the terms of the mit licen[sc]e
 apache-2.0 | notice | apache | (licensed|released|distributed|available|published) under( the)?( terms of the)? apache licen[sc]e( version| v)? (2 0|2|v2)
 apache-2.0 | notice | apache | licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license
 apache-2.0 | notice | apache | http(s)?( www)? apache org licenses license 2 0( txt| html)?
@@ -217,7 +221,7 @@ cc-by-nc-sa-4.0 | notice | creativecommons | creativecommons org licenses by nc
 cc-by-nc-nd-4.0 | notice | creativecommons | creativecommons org licenses by nc nd 4 0
 cc0-1.0 | notice | creativecommons | creativecommons org publicdomain zero 1 0
 public-domain-mark | notice | creativecommons | creativecommons org publicdomain mark 1 0
-cc | notice | creative | (licensed|released|published|available) under( a| the)?( terms of the)? creative commons( \S+){0,6} licen[sc]e
+cc | notice | license/licence | (licensed|released|published|available) under( a| the)?( terms of the)? creative commons( \S+){0,6} licen[sc]e
 bsl-1.0 | notice | boost | distributed under the boost software license version 1 0
 wtfpl | notice | wtfpl | (licensed|released|distributed) under( the)?( terms of the)? wtfpl
 unlicense | notice | unlicense | (licensed|released|distributed) under( the)?( terms of the)? unlicense
@@ -225,25 +229,25 @@ unlicense | notice | unlicense | http(s)? unlicense org
 zlib | notice | zlib | (licensed|released|distributed) under( the)?( terms of the)? zlib( libpng)? licen[sc]e
 artistic | notice | artistic | under the( terms of the)? artistic licen[sc]e
 perl | notice | perl | you can redistribute it and or modify it under the same terms as perl( 5)? itself
-python-2.0 | notice | licen | (licensed|released|distributed) under( the)?( terms of the)? (psf|python software foundation) licen[sc]e
+python-2.0 | notice | license/licence | (licensed|released|distributed) under( the)?( terms of the)? (psf|python software foundation) licen[sc]e
 ofl-1.1 | notice | ofl | scripts sil org ofl
 gfdl | notice | gnu | gnu org (licenses fdl|copyleft fdl)( html)?
 gfdl | notice | gfdl | (licensed|released) under( the)? gfdl
 public-domain | notice | domain | (placed|released|dedicated|is|are)( in| into| to)? the public domain
 dual | notice | dual | dual licensed under( the)? (mit|apache|gpl|lgpl|bsd|mpl)( \S+){0,4} (and|or)( the)? (mit|apache|gpl|lgpl|bsd|mpl)
 all-rights-reserved | notice | reserved | copyright( c)?( \S+){1,12} all rights reserved
-mit | title | mit | mit licen[sc]e
+mit | title | license/licence | mit licen[sc]e
 mit-0 | title | attribution | mit no attribution( licen[sc]e)?
-x11 | title | x11 | x11 licen[sc]e
+x11 | title | license/licence | x11 licen[sc]e
 apache-1.1 | title | apache | apache( software)? licen[sc]e( version)? 1 1
 apache-2.0 | title | apache | apache( software)? licen[sc]e( version)?( v)? (2 0|2|v2|v2 0)
 apache | title | apache | apache( software)? licen[sc]e
-gpl | title | general | (gnu )?general public licen[sc]e
-gpl-2.0 | title | general | (gnu )?general public licen[sc]e( version)? (2|v2|2 0)
-gpl-3.0 | title | general | (gnu )?general public licen[sc]e( version)? (3|v3|3 0)
-lgpl | title | general | (gnu )?(lesser|library) general public licen[sc]e
-lgpl-2.1 | title | lesser | (gnu )?lesser general public licen[sc]e( version)? (2 1|v2 1)
-lgpl-3.0 | title | lesser | (gnu )?lesser general public licen[sc]e( version)? (3|v3|3 0)
+gpl | title | license/licence | (gnu )?general public licen[sc]e
+gpl-2.0 | title | license/licence | (gnu )?general public licen[sc]e( version)? (2|v2|2 0)
+gpl-3.0 | title | license/licence | (gnu )?general public licen[sc]e( version)? (3|v3|3 0)
+lgpl | title | license/licence | (gnu )?(lesser|library) general public licen[sc]e
+lgpl-2.1 | title | license/licence | (gnu )?lesser general public licen[sc]e( version)? (2 1|v2 1)
+lgpl-3.0 | title | license/licence | (gnu )?lesser general public licen[sc]e( version)? (3|v3|3 0)
 agpl | title | affero | (gnu )?affero general public licen[sc]e
 agpl-3.0 | title | affero | (gnu )?affero general public licen[sc]e( version)? (3|v3|3 0)
 bsd | title | bsd | bsd( style)? licen[sc]e
@@ -259,9 +263,9 @@ epl | title | eclipse | eclipse public licen[sc]e
 epl-1.0 | title | eclipse | eclipse public licen[sc]e( version| v)? (1 0|v1 0)
 epl-2.0 | title | eclipse | eclipse public licen[sc]e( version| v)? (2 0|v2 0|2)
 edl-1.0 | title | eclipse | eclipse distribution licen[sc]e( version| v)? (1 0|v1 0)
-cddl | title | development | common development and distribution licen[sc]e
-cpl-1.0 | title | common | common public licen[sc]e( version| v)? 1 0
-eupl | title | european | european union public licen[sc]e
+cddl | title | license/licence | common development and distribution licen[sc]e
+cpl-1.0 | title | license/licence | common public licen[sc]e( version| v)? 1 0
+eupl | title | license/licence | european union public licen[sc]e
 cc0-1.0 | title | cc0 | cc0( 1 0)?( universal)?( public domain dedication)?
 cc-by | title | creative | creative commons attribution( (2 0|2 5|3 0|4 0))?( international| unported)?( public)?( licen[sc]e)?
 cc-by-sa | title | creative | creative commons attribution (sharealike|share alike)( (2 0|2 5|3 0|4 0))?( international| unported)?
@@ -270,66 +274,66 @@ cc-by-nd | title | creative | creative commons attribution (noderivs|noderivativ
 cc-by-nc-sa | title | creative | creative commons attribution (noncommercial|non commercial) (sharealike|share alike)( (2 0|2 5|3 0|4 0))?( international| unported)?
 cc-by-nc-nd | title | creative | creative commons attribution (noncommercial|non commercial) (noderivs|noderivatives|no derivatives|no derivative works)( (2 0|2 5|3 0|4 0))?
 bsl-1.0 | title | boost | boost software licen[sc]e
-busl-1.1 | title | business | business source licen[sc]e
-wtfpl | title | public | do what the fuck you want to public licen[sc]e
+busl-1.1 | title | license/licence | business source licen[sc]e
+wtfpl | title | license/licence | do what the fuck you want to public licen[sc]e
 zlib | title | zlib | zlib( libpng)? licen[sc]e
 libpng | title | libpng | libpng licen[sc]e
 artistic | title | artistic | (perl )?artistic licen[sc]e
 artistic-2.0 | title | artistic | artistic licen[sc]e( version)? 2 0
 postgresql | title | postgresql | postgresql licen[sc]e
-python-2.0 | title | licen | python software foundation licen[sc]e|psf licen[sc]e( agreement)?
+python-2.0 | title | license/licence | python software foundation licen[sc]e|psf licen[sc]e( agreement)?
 openssl | title | openssl | openssl licen[sc]e
 ssleay | title | ssleay | (original )?ssleay licen[sc]e
-ofl-1.1 | title | font | sil open font licen[sc]e
-odbl-1.0 | title | database | open (database|data commons open database) licen[sc]e
-odc-by-1.0 | title | commons | open data commons attribution licen[sc]e
+ofl-1.1 | title | license/licence | sil open font licen[sc]e
+odbl-1.0 | title | license/licence | open (database|data commons open database) licen[sc]e
+odc-by-1.0 | title | license/licence | open data commons attribution licen[sc]e
 upl-1.0 | title | permissive | universal permissive licen[sc]e
 ncsa | title | ncsa | university of illinois ncsa open source licen[sc]e|ncsa open source licen[sc]e
-ms-pl | title | microsoft | microsoft public licen[sc]e
-ms-rl | title | microsoft | microsoft reciprocal licen[sc]e
-sspl-1.0 | title | server | server side public licen[sc]e
-elastic | title | elastic | elastic licen[sc]e( 2 0)?
-gfdl | title | documentation | (gnu )?free documentation licen[sc]e
+ms-pl | title | license/licence | microsoft public licen[sc]e
+ms-rl | title | license/licence | microsoft reciprocal licen[sc]e
+sspl-1.0 | title | license/licence | server side public licen[sc]e
+elastic | title | license/licence | elastic licen[sc]e( 2 0)?
+gfdl | title | license/licence | (gnu )?free documentation licen[sc]e
 mulanpsl | title | mulan | mulan (psl|permissive software licen[sc]e)( v2| version 2)?
-blueoak | title | oak | blue oak model licen[sc]e
-beerware | title | beer | (beerware|beer ware) licen[sc]e
-osl-3.0 | title | open | open software licen[sc]e( version| v)? 3 0
-afl-3.0 | title | academic | academic free licen[sc]e( version| v)? 3 0
-qpl-1.0 | title | public | q public licen[sc]e
+blueoak | title | license/licence | blue oak model licen[sc]e
+beerware | title | license/licence | (beerware|beer ware) licen[sc]e
+osl-3.0 | title | license/licence | open software licen[sc]e( version| v)? 3 0
+afl-3.0 | title | license/licence | academic free licen[sc]e( version| v)? 3 0
+qpl-1.0 | title | license/licence | q public licen[sc]e
 nasa-1.3 | title | nasa | nasa open source agreement
-apsl-2.0 | title | apple | apple public source licen[sc]e
-ibm-pl | title | ibm | ibm public licen[sc]e
+apsl-2.0 | title | license/licence | apple public source licen[sc]e
+ibm-pl | title | license/licence | ibm public licen[sc]e
 npl-1.1 | title | netscape | netscape public licen[sc]e
-sun-pl | title | sun | sun public licen[sc]e
+sun-pl | title | license/licence | sun public licen[sc]e
 zpl | title | zope | zope public licen[sc]e
-ecl-2.0 | title | educational | educational community licen[sc]e
+ecl-2.0 | title | license/licence | educational community licen[sc]e
 cecill | title | cecill | cecill( b| c)?( free software)? licen[sc]e
 hippocratic | title | hippocratic | hippocratic licen[sc]e
-openrail | title | rail | (creativeml )?(openrail|open rail)( m)?( licen[sc]e)?
+openrail | title | openrail/rail | (creativeml )?(openrail|open rail)( m)?( licen[sc]e)?
 llama | title | llama | llama( 2| 3)? community licen[sc]e( agreement)?
-ruby | title | ruby | ruby licen[sc]e
-php-3.01 | title | php | php licen[sc]e( version)?( 3 0| 3 01)?
-vim | title | vim | vim licen[sc]e
-w3c | title | w3c | w3c software( notice)?( and)? licen[sc]e
-gpl | name | gpl | gpl
-gpl-2.0 | name | gpl | gpl( v| version)? (2|2 0|v2)|gplv2
-gpl-3.0 | name | gpl | gpl( v| version)? (3|3 0|v3)|gplv3
-lgpl | name | lgpl | lgpl
-lgpl-2.1 | name | lgpl | lgpl( v| version)? (2 1|v2 1)|lgplv2 1|lgplv2
-lgpl-3.0 | name | lgpl | lgpl( v| version)? (3|3 0|v3)|lgplv3
-agpl | name | agpl | agpl
-agpl-3.0 | name | agpl | agpl( v| version)? (3|3 0|v3)|agplv3
-apache-2.0 | name | apache | apache( v)? (2 0|2|v2)|apache2
-bsd-3-clause | name | bsd | bsd 3 clause|bsd3
-bsd-2-clause | name | bsd | bsd 2 clause|bsd2
-mpl-2.0 | name | mpl | mpl 2 0|mplv2
+ruby | title | license/licence | ruby licen[sc]e
+php-3.01 | title | license/licence | php licen[sc]e( version)?( 3 0| 3 01)?
+vim | title | license/licence | vim licen[sc]e
+w3c | title | license/licence | w3c software( notice)?( and)? licen[sc]e
+gpl | name | gpl/gplv2/gplv3 | gpl
+gpl-2.0 | name | gpl/gplv2/gplv3 | gpl( v| version)? (2|2 0|v2)|gplv2
+gpl-3.0 | name | gpl/gplv2/gplv3 | gpl( v| version)? (3|3 0|v3)|gplv3
+lgpl | name | lgpl/lgplv2/lgplv3 | lgpl
+lgpl-2.1 | name | lgpl/lgplv2/lgplv3 | lgpl( v| version)? (2 1|v2 1)|lgplv2 1|lgplv2
+lgpl-3.0 | name | lgpl/lgplv2/lgplv3 | lgpl( v| version)? (3|3 0|v3)|lgplv3
+agpl | name | agpl/agplv3 | agpl
+agpl-3.0 | name | agpl/agplv3 | agpl( v| version)? (3|3 0|v3)|agplv3
+apache-2.0 | name | apache/apache2 | apache( v)? (2 0|2|v2)|apache2
+bsd-3-clause | name | bsd/bsd2/bsd3 | bsd 3 clause|bsd3
+bsd-2-clause | name | bsd/bsd2/bsd3 | bsd 2 clause|bsd2
+mpl-2.0 | name | mpl/mplv2 | mpl 2 0|mplv2
 cc-by-sa | name | cc | cc by sa( (2 0|2 5|3 0|4 0))?
 cc-by-nc | name | cc | cc by nc( (2 0|2 5|3 0|4 0))?
 cc-by-nc-sa | name | cc | cc by nc sa( (2 0|2 5|3 0|4 0))?
 cc-by | name | cc | cc by( (2 0|2 5|3 0|4 0))
 copyleft | name | copyleft | copyleft
 fair-use | name | fair | fair use
-open-source | name | licen | (open source|free software) licen[sc]e
+open-source | name | license/licence | (open source|free software) licen[sc]e
 public-domain | name | domain | public domain
 """
 

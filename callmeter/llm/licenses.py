@@ -1,8 +1,8 @@
 """License scans by ordered signature rules.
 
 The rules are regular expressions over the words of a text, see
-license_rules.py.  A text is looked at only if it contains a keyword, and a rule
-is run only where its keyword stands.  A detection is dropped if another one of
+license_rules.py.  A text is looked at only if a keyword is among its words, and
+a rule is run only in pieces with one of its keywords.  A detection is dropped if another one of
 higher priority contains its interval of words, or one of equal priority whose
 interval is longer, or the same and whose rule comes first.  So what says
 "GNU Lesser General Public License" is not also a title of the GPL.
@@ -26,8 +26,7 @@ from pyspark.sql import functions as F
 from callmeter.llm.common import text_of
 from callmeter.llm.license_rules import LONGEST, SIGNATURES, Signature
 
-# Words are runs of letters, digits and everything beyond ASCII.
-WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Between words, which are runs of letters, digits and everything beyond ASCII.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 PIECE_WORDS = 512
@@ -68,7 +67,7 @@ def _places(words: Column, phrase: str, label: str) -> Column:
 
 def _rule_book(rules: Sequence[Signature]) -> Column:
     """The rules as one constant, grouped by their keywords; written in SQL, which is read at once."""
-    by_keyword: dict[str, list[str]] = {}
+    by_keywords: dict[tuple[str, ...], list[str]] = {}
     for order, rule in enumerate(rules):
         fields = {
             "priority": str(rule.priority),
@@ -79,10 +78,11 @@ def _rule_book(rules: Sequence[Signature]) -> Column:
             "pattern": f"r'{rule.pattern}'",
         }
         row = ", ".join(f"'{name}', {value}" for name, value in fields.items())
-        by_keyword.setdefault(rule.keyword, []).append(f"named_struct({row})")
+        by_keywords.setdefault(rule.keywords, []).append(f"named_struct({row})")
+    quoted = lambda words: ", ".join(f"r'{word}'" for word in words)
     groups = [
-        f"named_struct('keyword', r'{keyword.replace(' ', '  ')}', 'rules', array({', '.join(rows)}))"
-        for keyword, rows in by_keyword.items()
+        f"named_struct('keywords', array({quoted(keywords)}), 'rules', array({', '.join(rows)}))"
+        for keywords, rows in by_keywords.items()
     ]
     return F.expr(f"array({', '.join(groups)})")
 
@@ -123,18 +123,21 @@ def _suppresses(strong: Column, weak: Column) -> Column:
     )
 
 
-def _detections(words: Column, book: Column) -> Column:
+def _detections(words: Column, book: Column, keywords: Column) -> Column:
     """What is left of the detections of all rules in all pieces of a text."""
 
     def in_piece(low: Column) -> Column:
         first = F.greatest(low - LONGEST, F.lit(0))
         part = F.slice(words, first + 1, low - first + PIECE_WORDS + LONGEST)
-        piece = F.concat(F.lit(" "), F.array_join(part, "  "), F.lit(" "))
 
-        def found(piece: Column) -> Column:
-            groups = F.filter(book, lambda group: F.contains(piece, group["keyword"]))
+        def found(part: Column) -> Column:
+            piece = F.concat(F.lit(" "), F.array_join(part, "  "), F.lit(" "))
+            met = lambda known: F.filter(book, lambda group: F.arrays_overlap(known, group["keywords"]))
+            groups = _let(F.array_intersect(keywords, part), met)
             rules = F.flatten(F.transform(groups, lambda group: group["rules"]))
-            return F.flatten(F.transform(rules, lambda rule: _matches(piece, first, rule)))
+            return _let(
+                piece, lambda piece: F.flatten(F.transform(rules, lambda rule: _matches(piece, first, rule)))
+            )
 
         def left(all_found: Column) -> Column:
             return F.filter(
@@ -144,7 +147,7 @@ def _detections(words: Column, book: Column) -> Column:
                 & ~F.exists(all_found, lambda other: _suppresses(other, d)),
             )
 
-        return _let(_let(piece, found), left)
+        return F.when(F.arrays_overlap(part, keywords), _let(_let(part, found), left)).otherwise(_none())
 
     pieces = F.sequence(F.lit(0), F.size(words) - 1, F.lit(PIECE_WORDS))
     return F.flatten(F.transform(pieces, in_piece))
@@ -166,25 +169,28 @@ def scan_licenses(
     table gives no rows.
     """
     book = _rule_book(rules)
-    keywords = dict.fromkeys([part for rule in rules for part in rule.keyword.split(" ")])
-    keywords |= dict.fromkeys(phrase.split(" ")[-1] for phrase, _ in phrases)
-    # A keyword that contains another one is found with it.
-    shortest = [k for k in keywords if not any(other != k and other in k for other in keywords)]
-    rows = docs.select("doc_id", text_of().alias("text")).select("doc_id", "text", F.lower("text").alias("lowered"))
-    suspect = reduce(lambda a, b: a | b, [F.contains("lowered", F.lit(k)) for k in shortest])
-    words = F.filter(
-        F.split(F.translate("text", ascii_uppercase, ascii_lowercase), SEPARATORS), lambda word: word != ""
-    )
+    known = dict.fromkeys([word for rule in rules for word in rule.keywords])
+    known |= dict.fromkeys(phrase.split(" ")[-1] for phrase, _ in phrases)
+    keywords = F.array(*map(F.lit, known))
+    solid = lambda words: F.filter(words, lambda word: word != "")
 
     def scanned(words: Column) -> Column:
         places = F.flatten(F.array(*[_places(words, phrase, label) for phrase, label in phrases]))
-        found = F.struct(places.alias("places"), _detections(words, book).alias("detections"))
-        return F.when(F.size(words) > 0, found)
-
-    found = rows.select(
-        "doc_id",
-        F.regexp_count("text", F.lit(WORD)).cast("bigint").alias("n_words"),
-        F.when(suspect, _let(words, scanned)).alias("found"),
+        return F.struct(places.alias("places"), _detections(words, book, keywords).alias("detections"))
+
+    def looked_at(words: Column) -> Column:
+        # The words at either end are empty where the text begins or ends with a separator.
+        n = F.size(words) - (F.get(words, F.lit(0)) == "").cast("int")
+        n = n - ((F.size(words) > 1) & (F.element_at(words, -1) == "")).cast("int")
+        return F.struct(n.cast("bigint").alias("n_words"), F.arrays_overlap(words, keywords).alias("suspect"))
+
+    # Lower case of letters beyond ASCII makes no keyword and no separator of what was none.
+    rows = docs.select("doc_id", text_of().alias("text"))
+    looks = _let(F.split(F.lower("text"), SEPARATORS), looked_at)
+    exact = F.split(F.translate("text", ascii_uppercase, ascii_lowercase), SEPARATORS)
+    # As the output of a generator the first look is taken once per text.
+    found = rows.select("doc_id", "text", F.inline(F.array(looks))).select(
+        "doc_id", "n_words", F.when(F.col("suspect"), _let(solid(exact), scanned)).alias("found")
     )
     nothing = {"places": f"array<{PLACE}>", "detections": f"array<{DETECTION}>"}
     columns = [

@@ -251,14 +251,15 @@ def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def licenses_sql(rules: Sequence[Signature], piece_words: int = licenses.PIECE_WORDS) -> str:
     """The scan as joins: pieces of texts with rules by keyword, and detections with those that contain them."""
+    quoted = lambda words: ", ".join(f"'{word}'" for word in words)
     rule_rows = ", ".join(
-        f"({i}, {r.priority}, '{r.label}', {r.score}::DOUBLE, '{r.keyword.replace(' ', '  ')}', '{r.pattern}')"
+        f"({i}, {r.priority}, '{r.label}', {r.score}::DOUBLE, [{quoted(r.keywords)}], '{r.pattern}')"
         for i, r in enumerate(rules)
     )
     phrase_rows = ", ".join(f"('{phrase}', '{label}', {len(phrase.split())})" for phrase, label in licenses.PHRASES)
     spaces = lambda text: f"(length({text}) - length(replace({text}, ' ', ''))) // 2"
     return f"""
-WITH rules(rule, priority, label, score, keyword, pattern) AS (VALUES {rule_rows}),
+WITH rules(rule, priority, label, score, keywords, pattern) AS (VALUES {rule_rows}),
 phrases(phrase, label, size) AS (VALUES {phrase_rows}),
 words AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'),
@@ -282,14 +283,14 @@ lows AS (
   FROM (SELECT doc_id, w, unnest(range(0, len(w), {piece_words})) AS low FROM words)
 ),
 pieces AS (
-  SELECT doc_id, low, first,
-         ' ' || array_to_string(w[first + 1 : low + {piece_words + LONGEST}], '  ') || ' ' AS piece
+  SELECT doc_id, low, first, w[first + 1 : low + {piece_words + LONGEST}] AS part,
+         ' ' || array_to_string(part, '  ') || ' ' AS piece
   FROM lows
 ),
 hits AS (
   SELECT *, list_transform(regexp_extract_all(piece, pattern), lambda x: {spaces('x')}) AS sizes,
          list_transform(string_split_regex(piece, pattern), lambda x: {spaces('x')}) AS gaps
-  FROM pieces JOIN rules ON contains(piece, keyword)
+  FROM pieces JOIN rules ON list_has_any(part, keywords)
 ),
 each_hit AS (
   SELECT *, unnest(range(1, len(sizes) + 1)) AS i FROM hits WHERE len(sizes) > 0
