@@ -65,7 +65,7 @@ def access_increments(log: DataFrame, settings: Settings = Settings()) -> DataFr
     return _named(grouped, settings)
 
 
-def _named(grouped: DataFrame, settings: Settings) -> DataFrame:
+def _named(grouped: DataFrame, settings: Settings, *keep: str) -> DataFrame:
     day = local_day(F.col("earliest.add_time_ms"), settings.zone)
     return grouped.select(
         *INCREMENT_KEYS,
@@ -79,9 +79,30 @@ def _named(grouped: DataFrame, settings: Settings) -> DataFrame:
         F.col("earliest.add_time_ms").alias("add_time"),
         day.alias("access_day"),
         month_of(day).alias("access_month"),
+        *keep,
     )
 
 
+def merge_increments(increments: DataFrame, *least: str, settings: Settings = Settings()) -> DataFrame:
+    """One row for the parts of each increment, as if they had been grouped at once.
+
+    Of the columns ``least`` the smallest value stays.
+    """
+    own = F.struct(
+        F.col("add_time").alias("add_time_ms"),
+        F.col("user_logo").alias("userLogo"),
+        F.col("user_project").alias("userProject"),
+        F.col("api_type").alias("apiType"),
+        F.col("charge_type").alias("chargeType"),
+    )
+    grouped = increments.groupBy(*INCREMENT_KEYS).agg(
+        *[F.sum(name).alias(name) for name in ("call_count", "sum_flow", "sum_deal")],
+        F.min(own).alias("earliest"),
+        *[F.min(name).alias(name) for name in least],
+    )
+    return _named(grouped, settings, *least)
+
+
 def register_log(log: DataFrame, name: str = LOG_VIEW) -> None:
     """Opens the log to SQL."""
     log.createOrReplaceTempView(name)

@@ -326,11 +326,13 @@ SELECT CASE kind WHEN 0 THEN substr(line, 1, length(line) - 1)
                  WHEN 1 THEN regexp_replace(line, '"appId":([0-9]+)', '"appId":"x\\1"')
                  WHEN 2 THEN regexp_replace(line, '"dealCount":', '"dealcount":')
                  WHEN 3 THEN regexp_replace(line, '"accessFlow":[0-9]+', '"accessFlow":" "')
-                 WHEN 4 THEN line || line ELSE line || ' junk' END AS value,
+                 WHEN 4 THEN line || line WHEN 5 THEN line || ' junk' WHEN 6 THEN line || '] junk'
+                 WHEN 7 THEN line || '],[{{"x":1}}' WHEN 8 THEN line || ',' || line
+                 ELSE line || '],"x":[{{}}' END AS value,
        CASE kind WHEN 1 THEN 'not a number: appId' WHEN 2 THEN 'missing dealCount'
                  WHEN 3 THEN 'not a number: accessFlow' ELSE 'malformed' END AS reject_reason
 FROM (SELECT CAST({_LINE} AS VARCHAR) AS line, "dealCount" % 32 AS kind FROM access_log)
-WHERE kind < 6""",
+WHERE kind < 10""",
     ),
     "access_log_rowkey": _with(
         _BILLING_LOG,
@@ -485,7 +487,13 @@ WHERE access_month >= '1998-07' GROUP BY ALL""",
         _SPARSE_ROWS,
         select=f"SELECT rowkey, {_LATEST} FROM sparse GROUP BY rowkey",
     ),
-    "stream_charging_split": _sliced(
+    "stream_resumed": _with(
+        *_PRICED, select=f"SELECT {_KEY}, access_month, {_SUMS} FROM charges GROUP BY ALL"
+    ),
+    "stream_charging_split": _with(
+        *_PRICED, select=f"SELECT {_KEY}, access_month, {_SUMS} FROM charges GROUP BY ALL"
+    ),
+    "stream_charging_parts": _sliced(
         _with(*_PRICED, select=f"SELECT {_KEY}, access_month, {_SUMS} FROM charges GROUP BY ALL"), _SPLIT_CUTS
     ),
 }

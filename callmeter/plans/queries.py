@@ -27,7 +27,7 @@ from callmeter.sources.workload import (
     json_lines,
     sample_rules,
 )
-from callmeter.streaming.jobs import start_metering
+from callmeter.streaming.jobs import close_windows, start_metering
 from callmeter.streaming.ledger import Ledger, archived_records, result_table
 
 SETTINGS = Settings()
@@ -266,17 +266,22 @@ def resumed_charging_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _streamed(
-    spark: SparkSession, log: DataFrame, cuts: list[int], rules: DataFrame | None
+    spark: SparkSession,
+    log: DataFrame,
+    cuts: list[int],
+    rules: DataFrame | None,
+    settings: Settings = SETTINGS,
+    checkpoints: tuple[str, ...] = ("checkpoint",),
 ) -> Ledger:
     """Feeds the log to the streaming job as JSON lines, slice after slice.
 
     The slices end at the given times.  The job is started anew for each and
-    goes on from its checkpoint.
+    goes on from its checkpoint, or with the next one where several are given.
     """
     folder = new_folder(spark, "stream")
     ledger = Ledger(f"{folder}/ledger", snapshot_every=2)
     edges = [None, *cuts, None]
-    for start, end in zip(edges, edges[1:]):
+    for i, (start, end) in enumerate(zip(edges, edges[1:])):
         part = log
         if start is not None:
             part = part.filter(F.col("add_time_ms") >= start)
@@ -284,7 +289,10 @@ def _streamed(
             part = part.filter(F.col("add_time_ms") < end)
         json_lines(part).write.mode("append").text(f"{folder}/lines")
         lines = stream_lines(spark, f"{folder}/lines")
-        start_metering(lines, ledger, f"{folder}/checkpoint", rules, SETTINGS, once=True).awaitTermination()
+        checkpoint = f"{folder}/{checkpoints[i % len(checkpoints)]}"
+        start_metering(lines, ledger, checkpoint, rules, settings, once=True).awaitTermination()
+    if settings.carry_batches:
+        close_windows(spark, ledger, rules, settings)
     return ledger
 
 
@@ -304,7 +312,22 @@ SPLIT_CUTS = (utc_ms(1997, 6, 9) + 30_000, utc_ms(1999, 9, 20) + 30_000)
 
 
 def stream_charging_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Monthly bills from the streaming job when micro-batches end inside windows."""
+    """Monthly bills when micro-batches end inside windows, which are carried on until they have ended."""
+    carrying = replace(SETTINGS, carry_batches=2)
+    ledger = _streamed(spark, billing_log(spark, sf_dir), [*SPLIT_CUTS], sample_rules(spark), carrying)
+    return result_table(spark, ledger, "user_charging_month")
+
+
+def stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monthly bills when the job loses its checkpoint after each slice and finds all files anew."""
+    cuts = [utc_ms(1997, 6, 10), utc_ms(1999, 9, 20)]
+    lost = ("checkpoint-1", "checkpoint-2", "checkpoint-3")
+    ledger = _streamed(spark, billing_log(spark, sf_dir), cuts, sample_rules(spark), checkpoints=lost)
+    return result_table(spark, ledger, "user_charging_month")
+
+
+def stream_charging_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same when windows that a micro-batch cuts are booked in parts."""
     ledger = _streamed(spark, billing_log(spark, sf_dir), [*SPLIT_CUTS], sample_rules(spark))
     return result_table(spark, ledger, "user_charging_month")
 
@@ -361,4 +384,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_access_stats": stream_access_stats,
     "stream_charging": stream_charging,
     "stream_charging_split": stream_charging_split,
+    "stream_charging_parts": stream_charging_parts,
+    "stream_resumed": stream_resumed,
 }

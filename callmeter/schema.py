@@ -69,7 +69,7 @@ CHARGED_TOTALS = T.StructType(
     ]
 )
 
-# Tables of the ledger, without their partition columns batch_id and the like.
+# Tables of the ledger, without the columns that the names of their folders hold.
 LEDGER_TABLES = {
     "archive": T.StructType(
         [T.StructField("rowkey", T.StringType())]
@@ -120,18 +120,13 @@ LEDGER_TABLES = {
             T.StructField("access_month", T.StringType()),
         ]
     ),
-    # One row per measure; the other columns are the same in all rows of an entry.
-    "batches": T.StructType(
+    # What a batch took of each source: a file, whose place is its time, or a partition of a topic.
+    "inputs": T.StructType(
         [
-            T.StructField("batch_id", T.LongType()),
-            T.StructField("attempt", T.StringType()),
-            T.StructField("written", T.LongType()),
             T.StructField("stream", T.StringType()),
-            T.StructField("stream_batch", T.LongType()),
-            T.StructField("tables", T.ArrayType(T.StringType())),
-            T.StructField("months", T.ArrayType(T.StringType())),
-            T.StructField("measure", T.StringType()),
-            T.StructField("row_count", T.LongType()),
+            T.StructField("source", T.StringType()),
+            T.StructField("low", T.LongType()),
+            T.StructField("high", T.LongType()),
         ]
     ),
     # Sums of the batches since the snapshot before.
@@ -166,7 +161,37 @@ LEDGER_TABLES = {
             T.StructField("charge_order", T.DecimalType(38, 0)),
         ]
     ),
-    # Charged totals of whole lifetimes, and of the months that a snapshot wrote.
-    "totals_life": T.StructType([f for f in CHARGED_TOTALS.fields if f.name != "access_month"]),
-    "totals_month": CHARGED_TOTALS,
+    # Charged totals of the batches of a snapshot, and of the months that it wrote.
+    "totals_life": T.StructType(
+        [T.StructField("key_hash", T.LongType()), *[f for f in CHARGED_TOTALS.fields if f.name != "access_month"]]
+    ),
+    "totals_month": T.StructType([T.StructField("key_hash", T.LongType()), *CHARGED_TOTALS.fields]),
 }
+
+# Increments of windows that are still open, with the batch that met them first.
+LEDGER_TABLES["carry"] = T.StructType(
+    [*LEDGER_TABLES["increments"].fields, T.StructField("carried_since", T.LongType())]
+)
+
+# Rows of the archive with the last batch of their piece.
+ARCHIVE_PIECE = T.StructType([*LEDGER_TABLES["archive"].fields, T.StructField("batch_id", T.LongType())])
+
+# An entry of the ledger, without the state it leaves behind.
+ENTRY = T.StructType(
+    [
+        T.StructField("batch_id", T.LongType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("void", T.BooleanType()),
+        T.StructField("attempt", T.StringType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("stream_batch", T.LongType()),
+        T.StructField("tables", T.ArrayType(T.StringType())),
+        T.StructField("months", T.ArrayType(T.StringType())),
+        T.StructField(
+            "sizes",
+            T.ArrayType(
+                T.StructType([T.StructField("measure", T.StringType()), T.StructField("row_count", T.LongType())])
+            ),
+        ),
+    ]
+)

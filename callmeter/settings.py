@@ -22,6 +22,13 @@ class Settings:
     # Length of one metering window.
     window_ms: int = 60_000
 
+    # A window that a micro-batch leaves open is carried on to the next ones,
+    # and booked when records have come that are this much later than its end,
+    # or after so many batches.  With 0 batches nothing is carried, and a
+    # window that is cut by batches is booked in parts.
+    lateness_ms: int = 0
+    carry_batches: int = 0
+
     # Zone in which days and months are cut.
     zone: str = "UTC"
 

@@ -143,7 +143,7 @@ def json_lines(log: DataFrame, *keep: str) -> DataFrame:
 
 
 def damaged_lines(log: DataFrame) -> DataFrame:
-    """JSON lines of which some are broken, in one of six ways."""
+    """JSON lines of which some are broken, in one of ten ways."""
     kind = F.col("dealCount") % 32
     line = F.col("line")
     return log.select(
@@ -155,6 +155,10 @@ def damaged_lines(log: DataFrame) -> DataFrame:
         .when(F.col("kind") == 3, F.regexp_replace(line, '"accessFlow":[0-9]+', '"accessFlow":" "'))
         .when(F.col("kind") == 4, F.concat(line, line))
         .when(F.col("kind") == 5, F.concat(line, F.lit(" junk")))
+        .when(F.col("kind") == 6, F.concat(line, F.lit("] junk")))
+        .when(F.col("kind") == 7, F.concat(line, F.lit('],[{"x":1}')))
+        .when(F.col("kind") == 8, F.concat(line, F.lit(","), line))
+        .when(F.col("kind") == 9, F.concat(line, F.lit('],"x":[{}')))
         .otherwise(line)
         .alias("value"),
         "log_id",
