@@ -12,10 +12,10 @@ from callmeter.settings import Settings
 from callmeter.sources.charge_rules import tier_book
 
 # In charge_order, one window has room for this many hash values, and one
-# micro-batch for all windows since 1970, though they be milliseconds.  38
-# digits leave room for eight million batches.
+# micro-batch for all windows of a second or more since 1970.  38 digits leave
+# room for eight billion batches, or fewer where windows are shorter.
 HASHES_PER_WINDOW = 2**60
-WINDOWS_PER_BATCH = 10**13
+SECONDS_PER_BATCH = 10**10
 
 
 # A price list of up to this many rules, some megabytes, is broadcast.
@@ -121,7 +121,8 @@ def increment_charges(
     zero = F.lit(Decimal(0)).cast(AMOUNT)
     total = F.aggregate("lines", zero, lambda so_far, line: (so_far + line["amount"]).cast(AMOUNT))
     window = ((F.col("window_start") / settings.window_ms).cast("bigint")).cast("decimal(18,0)")
-    first_of_batch = Decimal(batch_id * WINDOWS_PER_BATCH * HASHES_PER_WINDOW)
+    windows_per_batch = max(SECONDS_PER_BATCH, SECONDS_PER_BATCH * 1000 // settings.window_ms)
+    first_of_batch = Decimal(batch_id * windows_per_batch * HASHES_PER_WINDOW)
     order = (
         window * F.lit(Decimal(HASHES_PER_WINDOW))
         + F.col("seq_hash").cast("decimal(19,0)")

@@ -219,6 +219,13 @@ def test_rule_order_of_a_later_batch_is_above_all_windows(spark):
     assert first.first().charge_order < later.first().charge_order
 
 
+def test_rule_order_has_room_for_a_billion_batches(spark):
+    seconds = replace(NONE_FREE, window_ms=1000)
+    rows = increments(spark, [("u", 2, 9000, 1, 0, 1)])
+    orders = [priced(rows, tier_rows(spark), seconds, batch_id=n).first().charge_order for n in (0, 10**9, 10**9 + 1)]
+    assert None not in orders and orders == sorted(set(orders))
+
+
 def test_inactive_rules_are_ignored(spark):
     both = rules(spark, (1, 2, 1, 100, 1, 99)).unionAll(
         rules(spark, (2, 2, 50, 100, 1, 99)).withColumn("status", F.lit(0))
