@@ -52,12 +52,19 @@ def numbered(docs: DataFrame, name: str) -> DataFrame:
 def in_files(docs: DataFrame) -> DataFrame:
     """The table itself if its rows lie in files, else a stored copy of it."""
     try:
-        docs.select("_metadata.file_path", "_metadata.row_index")
+        _file_metadata(docs)
     except AnalysisException:
         return stored(docs, "documents")
     return docs
 
 
+def _file_metadata(docs: DataFrame) -> tuple[Column, Column]:
+    """File and number of a row, also where a column of the table hides their usual name."""
+    hidden = docs.metadataColumn("_metadata")
+    docs.select(hidden["file_path"], hidden["row_index"])
+    return hidden["file_path"], hidden["row_index"]
+
+
 PLACE = ("file_key", "file_row")
 
 
@@ -67,11 +74,8 @@ def placed(docs: DataFrame, *columns: str | Column, names: tuple[str, str] = PLA
     Unlike a number given by Spark, the place of a row of a table in files is
     the same whenever and however split the table is read.
     """
-    return docs.select(
-        *columns,
-        F.xxhash64("_metadata.file_path").alias(names[0]),
-        F.col("_metadata.row_index").alias(names[1]),
-    )
+    path, row = _file_metadata(docs)
+    return docs.select(*columns, F.xxhash64(path).alias(names[0]), row.alias(names[1]))
 
 
 def without_rows(docs: DataFrame, dropped: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ mean probability over all of its words.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +35,21 @@ CHAIN = 64
 LEAST_OF_LANGUAGE = 30
 SPAN_CHARS = 500
 
-PREDICTED = "doc_id bigint, held_out boolean, lang_pred string, score double"
+# Languages for which the weight table has all of its rows; with more it gets fewer, and keeps its size.
+FULL_LANGUAGES = 64
+
+# A text is in no language that was learned if its words are labelled with less
+# than this share of the certainty that all but a twentieth of the labelled
+# texts reach, and if it has so many words; a few words prove nothing.  On a
+# scale from guessing (0) to knowing (1), clean and mixed texts lie above 0.8,
+# random letters at 0.6, strings of digits and hex codes below 0.45.
+LEAST_CERTAINTY = 0.5
+LEAST_WORDS = 20
+
+PREDICTED = (
+    "doc_id bigint, held_out boolean, lang_pred string, score double, certainty double, n_switches bigint, "
+    "n_words bigint"
+)
 
 
 @dataclass
@@ -45,13 +59,23 @@ class Model:
     lexicon: np.ndarray  # sorted hashes of the words that have a feature of their own
     transitions: np.ndarray  # from, to
     initial: np.ndarray
+    grams: int = GRAM_ROWS  # rows of the weights that are hashed n-grams; the others are words
+    floor: float = 0.0  # the certainty that a text in a learned language has at least
+
+
+def table_rows(languages: int) -> tuple[int, int]:
+    """Rows of n-grams and of words in the weight table, which is at most 48 MB whatever the languages."""
+    share = max(1, languages) / FULL_LANGUAGES
+    return tuple(rows if share <= 1 else max(1, int(rows / share)) for rows in (GRAM_ROWS, LEXICON_ROWS))
 
 
 def word_hasher() -> w.Hasher:
     return w.Hasher(6, lower=True)
 
 
-def word_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, lexicon: np.ndarray):
+def word_features(
+    data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, lexicon: np.ndarray, grams: int, words: int
+):
     """Feature rows of some words, and how many each word has."""
     sizes = (ends - starts) + 2
     at = np.concatenate([[0], np.cumsum(sizes)])
@@ -68,14 +92,14 @@ def word_features(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, hashes
         if n == 1:
             inside = letters > 1
         kept = gram[inside]
-        rows.append((w.mix(kept + np.uint64(n << 40)) % np.uint64(GRAM_ROWS)).astype(np.int64))
+        rows.append((w.mix(kept + np.uint64(n << 40)) % np.uint64(grams)).astype(np.int64))
         owners.append(word[: len(gram)][inside])
     counts = sum(np.bincount(owner, minlength=len(starts)) for owner in owners)
     place = np.searchsorted(lexicon, hashes)
     known = np.zeros(len(hashes), bool)
     if len(lexicon):
         known = lexicon[np.minimum(place, len(lexicon) - 1)] == hashes
-    lexical = np.where(known, GRAM_ROWS + (hashes % np.uint64(LEXICON_ROWS)).astype(np.int64), -1)
+    lexical = np.where(known, grams + (hashes % np.uint64(words)).astype(np.int64), -1)
     return np.concatenate(rows), np.concatenate(owners), np.maximum(counts, 1), lexical
 
 
@@ -127,11 +151,12 @@ def _train(texts: list[tuple[bytes, int]], languages: list[str], epochs: int, se
     labels = np.repeat([label for _, label in texts], np.diff(first))
     unique, firsts, word_of, counts = np.unique(hashes, return_index=True, return_inverse=True, return_counts=True)
     lexicon = unique[counts >= 20]
-    features = word_features(data, starts[firsts], ends[firsts], unique, lexicon)
+    grams, lexicon_rows = table_rows(k)
+    features = word_features(data, starts[firsts], ends[firsts], unique, lexicon, grams, lexicon_rows)
     rows, owners, sizes, lexical = features
 
     generator = np.random.default_rng(seed)
-    weights = np.zeros((GRAM_ROWS + LEXICON_ROWS, k))
+    weights = np.zeros((grams + lexicon_rows, k))
     transitions, initial = np.eye(k), np.zeros(k)
     squares, transition_squares, initial_squares = np.full_like(weights, 1e-8), np.full((k, k), 1e-8), np.full(k, 1e-8)
     order = np.argsort(owners, kind="stable")
@@ -181,7 +206,7 @@ def _train(texts: list[tuple[bytes, int]], languages: list[str], epochs: int, se
             transitions = transitions + 0.2 * transition_step / np.sqrt(transition_squares)
             initial_squares += initial_step**2
             initial = initial + 0.2 * initial_step / np.sqrt(initial_squares)
-    return Model(languages, weights.astype(np.float32), lexicon, transitions, initial)
+    return Model(languages, weights.astype(np.float32), lexicon, transitions, initial, grams)
 
 
 def _quotas(counts: dict[str, int], most: int) -> dict[str, int]:
@@ -247,24 +272,42 @@ def fit(docs: DataFrame, max_documents: int = 1500, max_chars: int = 5000, epoch
     texts = [(text.encode(), numbers[lang]) for lang, text in sorted((r.lang, r.text) for r in drawn_rows)]
     if len(languages) == 1:
         return Model(languages, np.zeros((GRAM_ROWS + LEXICON_ROWS, 1), np.float32), np.empty(0, np.uint64), np.zeros((1, 1)), np.zeros(1))
-    return _train(texts, languages, epochs, seed)
+    model = _train(texts, languages, epochs, seed)
+    return replace(model, floor=_floor(model, [text for text, _ in texts]))
+
+
+def _floor(model: Model, texts: list[bytes]) -> float:
+    """The least certainty asked for, from that of the texts learned from.
+
+    Where labels contradict one another nothing is certain, and nothing is asked for.
+    """
+    found = []
+    for chunk in w.chunks(pa.array([text.decode() for text in texts])):
+        hashes = word_hasher().spans(chunk.data, chunk.starts, chunk.ends)
+        sure = certainty(chunk, word_probabilities(chunk, hashes, model))
+        found.append(sure[chunk.counts >= LEAST_WORDS])
+    known = np.concatenate(found) if found else np.empty(0)
+    return LEAST_CERTAINTY * float(np.quantile(known, 0.05)) if len(known) else 0.0
 
 
 def _held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(True))
 
 
-def text_probabilities(chunk: w.Chunk, hashes: np.ndarray, model: Model) -> np.ndarray:
-    """Mean probability of each language over the words of each text."""
+def word_probabilities(chunk: w.Chunk, hashes: np.ndarray, model: Model) -> np.ndarray:
+    """Probability of each language for every word, by forward-backward."""
     k, n = len(model.languages), len(hashes)
     if n == 0 or k == 0:
-        return np.zeros((chunk.texts, max(k, 1)))
+        return np.zeros((n, max(k, 1)))
     unique, firsts, word_of = np.unique(hashes, return_index=True, return_inverse=True)
     order = np.argsort(firsts)
     scores = np.empty((len(unique), k))
     for at in range(0, len(order), 1 << 15):
         part = order[at : at + (1 << 15)]
-        own = word_features(chunk.data, chunk.starts[firsts[part]], chunk.ends[firsts[part]], unique[part], model.lexicon)
+        own = word_features(
+            chunk.data, chunk.starts[firsts[part]], chunk.ends[firsts[part]], unique[part], model.lexicon,
+            model.grams, len(model.weights) - model.grams,
+        )
         scores[part] = emissions(own, model.weights, len(part))
     counts = chunk.counts
     inside = np.arange(n) - np.repeat(chunk.first[:-1], counts)
@@ -284,8 +327,36 @@ def text_probabilities(chunk: w.Chunk, hashes: np.ndarray, model: Model) -> np.n
         padded[mask] = scores[word_of[span]]
         marginals = forward_backward(padded, mask, model.transitions, model.initial)[0]
         probability[span] = marginals[mask]
-    sums = np.stack([w.per_text(chunk, probability[:, c]) for c in range(k)], axis=1)
-    return sums / np.maximum(counts, 1)[:, None]
+    return probability
+
+
+def _means(chunk: w.Chunk, values: np.ndarray) -> np.ndarray:
+    return w.per_text(chunk, values) / np.maximum(chunk.counts, 1)
+
+
+def text_probabilities(chunk: w.Chunk, hashes: np.ndarray, model: Model) -> np.ndarray:
+    """Mean probability of each language over the words of each text."""
+    probability = word_probabilities(chunk, hashes, model)
+    return np.stack([_means(chunk, column) for column in probability.T], axis=1)
+
+
+def certainty(chunk: w.Chunk, probability: np.ndarray) -> np.ndarray:
+    """How far the labels of the words of each text are from guessing: 0 to 1.
+
+    A text in several languages is as certain as one in a single language.
+    """
+    guess = 1 / probability.shape[1]
+    if guess == 1:
+        return np.ones(chunk.texts)
+    return np.maximum(_means(chunk, probability.max(axis=1)) - guess, 0) / (1 - guess)
+
+
+def _changes(chunk: w.Chunk, labels: np.ndarray) -> np.ndarray:
+    """Whether a word is labelled otherwise than the one before it in its text."""
+    changed = np.zeros(len(labels), bool)
+    changed[1:] = labels[1:] != labels[:-1]
+    changed[chunk.first[:-1][chunk.counts > 0]] = False
+    return changed
 
 
 def _predict(shared):
@@ -293,10 +364,14 @@ def _predict(shared):
         model, hasher = Model(**shared.value), word_hasher()
         names = np.array([*model.languages, UNDETERMINED], object)
         for batch in batches:
-            best, score = [], []
+            best, score, sure, switches, counts = [], [], [], [], []
             for chunk in w.chunks(batch.column("text")):
                 hashes = hasher.spans(chunk.data, chunk.starts, chunk.ends)
-                found = text_probabilities(chunk, hashes, model)
+                words = word_probabilities(chunk, hashes, model)
+                found = np.stack([_means(chunk, column) for column in words.T], axis=1)
+                sure.append(certainty(chunk, words))
+                counts.append(chunk.counts)
+                switches.append(w.per_text(chunk, _changes(chunk, words.argmax(axis=1))))
                 best.append(found.argmax(axis=1) if len(model.languages) else np.full(chunk.texts, -1))
                 score.append(found.max(axis=1))
             lettered = np.asarray(batch.column("lettered").to_pylist(), bool)
@@ -304,17 +379,61 @@ def _predict(shared):
             value = np.concatenate(score) if score else np.empty(0)
             which = np.where(lettered, which, -1)
             value = np.clip(np.where(which < 0, 0.0, value), 0.0, 1.0)
+            sure = np.where(which < 0, 0.0, np.concatenate(sure)) if sure else np.empty(0)
+            switches = np.where(which < 0, 0, np.concatenate(switches)) if switches else np.empty(0, int)
+            counts = np.concatenate(counts) if counts else np.empty(0)
+            numbers = (value, sure, switches.astype(np.int64), counts.astype(np.int64))
+            columns = [pa.array(names[which], pa.string()), *map(pa.array, numbers)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"), pa.array(names[which], pa.string()), pa.array(value)],
-                names=["doc_id", "held_out", "lang_pred", "score"],
+                [batch.column("doc_id"), batch.column("held_out"), *columns],
+                names=["doc_id", "held_out", "lang_pred", "score", "certainty", "n_switches", "n_words"],
             )
 
     return predict
 
 
+SPANS = "array<struct<lang:string,start:bigint,length:bigint>>"
+
+
+def language_spans(docs: DataFrame, model: Model | None = None) -> DataFrame:
+    """doc_id and the stretches of words that have the same likeliest language, as (lang, start, length).
+
+    A text without words, or a model without languages, has no spans.  Every
+    row counts on its own; columns other than doc_id, text and, for learning,
+    lang are not read.
+    """
+    model = model or fit(docs)
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))
+    kind = pa.struct([("lang", pa.string()), ("start", pa.int64()), ("length", pa.int64())])
+
+    def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, hasher = Model(**shared.value), word_hasher()
+        names = np.array(own.languages, object)
+        for batch in batches:
+            for chunk in w.chunks(batch.column("text")):
+                hashes = hasher.spans(chunk.data, chunk.starts, chunk.ends)
+                labels = word_probabilities(chunk, hashes, own).argmax(axis=1)
+                begins = _changes(chunk, labels)
+                begins[chunk.first[:-1][chunk.counts > 0]] = True
+                at = np.flatnonzero(begins) if len(names) else np.empty(0, int)
+                text = chunk.doc_of_word()[at]
+                lengths = np.diff(np.append(at, len(labels))) if len(at) else at
+                fields = [pa.array(names[labels[at]], pa.string()), pa.array(at - chunk.first[text]), pa.array(lengths)]
+                values = pa.StructArray.from_arrays(fields, fields=list(kind))
+                offsets = np.searchsorted(text, np.arange(chunk.texts + 1)).astype(np.int32)
+                ids = batch.column("doc_id").slice(chunk.row, chunk.texts)
+                spans = pa.ListArray.from_arrays(pa.array(offsets), values)
+                yield pa.RecordBatch.from_arrays([ids, spans], names=["doc_id", "spans"])
+
+    rows = docs.select(F.col("doc_id").cast("bigint"), F.coalesce("text", F.lit("")).alias("text"))
+    return rows.mapInArrow(label, f"doc_id bigint, spans {SPANS}")
+
+
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
-    """One row per document: doc_id, held_out, lang_pred and score.
+    """One row per document: doc_id, held_out, lang_pred, score, certainty, n_switches and n_words.
 
+    The certainty is how far the labels of the words are from guessing, and
+    n_switches says how often the language changes from a word to the next.
     A text that is null or has no letter is "und" with score 0; a text without
     words has no letter either.  Rows without doc_id are held out.  Texts with
     equal words get equal results, ties go to the language first in the
@@ -322,7 +441,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     other than doc_id, text and, for learning, lang are not read.
     """
     model = model or fit(docs)
-    # Of fixed size: hashed features by languages.
+    # Of bounded size, see table_rows().
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
     rows = docs.select(
         "doc_id",
@@ -336,14 +455,17 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
 def keep_identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """The documents whose language could be told, with the columns they came with.
 
-    Decided where the text is read; a document goes if identify() calls it "und".
-    Where no language could be learned, all documents with a letter stay.
+    Decided where the text is read; a document goes if identify() calls it
+    "und", or if LEAST_WORDS words or more are labelled with less certainty than
+    the model's floor, so that they are hardly words of any language that was
+    learned.  A text in several languages is as certain as another.  Where no
+    language could be learned, all documents with a letter stay.
     """
     model = model or fit(docs)
     if not model.languages:
         return docs.filter(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))
-    predict = _predict(shared)
+    predict, floor = _predict(shared), model.floor
     lettered = fresh_name(docs, "lettered")
     names = docs.columns
 
@@ -354,8 +476,11 @@ def keep_identified(docs: DataFrame, model: Model | None = None) -> DataFrame:
                 [pa.nulls(len(batch), pa.int64()), batch.column("text").fill_null(""), flags, flags],
                 names=["doc_id", "text", "held_out", "lettered"],
             )
-            found = next(predict(iter([own]))).column("lang_pred").to_numpy(zero_copy_only=False)
-            yield batch.filter(pa.array(found != UNDETERMINED)).select(names)
+            found = next(predict(iter([own])))
+            told = found.column("lang_pred").to_numpy(zero_copy_only=False) != UNDETERMINED
+            sure = found.column("certainty").to_numpy() >= floor
+            few = found.column("n_words").to_numpy() < LEAST_WORDS
+            yield batch.filter(pa.array(told & (sure | few))).select(names)
 
     has_letter = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     return docs.withColumn(lettered, has_letter).mapInArrow(keep, docs.schema)

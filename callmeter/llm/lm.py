@@ -34,10 +34,9 @@ WORD_MARK = "▁".encode()
 # Words looked up in memory by every task; the rest meet their scores in a join.
 FREQUENT_WORDS = 1 << 17
 
-# Bytes of a piece: no bound, the lattice is as wide as the longest usable piece.
-LONGEST_PIECE = float("inf")
-
 FLUSH_WORDS = 300_000
+# A longer word is gone through in frames of so many bytes.
+FRAME_BYTES = 4096
 # Bytes of the words of one batch times the width of the lattice.
 BATCH_CELLS = 1 << 20
 SMOOTHING = 0.1
@@ -68,7 +67,7 @@ def read_vocabulary(path: str) -> tuple[Pieces, np.ndarray]:
             continue
         text = model.id_to_piece(i).encode()
         mark = WORD_MARK in text[1:]
-        if not mark and len(text) <= LONGEST_PIECE and text == text.translate(w.LOWER.tobytes()):
+        if not mark and text == text.translate(w.LOWER.tobytes()):
             found.append((text, model.get_score(i)))
     hasher = lattice_hasher()
     known: dict[bytes, int] = {}
@@ -88,10 +87,19 @@ def read_vocabulary(path: str) -> tuple[Pieces, np.ndarray]:
     return pieces, np.log(weights / weights.sum())
 
 
-def _lattice(pieces: Pieces, log_p: np.ndarray, hasher: w.Hasher, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray):
+def _lattice(
+    pieces: Pieces,
+    log_p: np.ndarray,
+    hasher: w.Hasher,
+    data: np.ndarray,
+    starts: np.ndarray,
+    sizes: np.ndarray,
+    marked: int = len(WORD_MARK),
+):
     """Piece and its log probability for each place and length in a buffer of marked words.
 
-    Row i, column l - 1: the piece of l bytes that begins at i, or -1.
+    Row i, column l - 1: the piece of l bytes that begins at i, or -1.  The
+    marked bytes of a word, its first, stand for no bytes of the text.
     """
     n = len(data)
     left = np.zeros(n, np.int64)  # bytes to the end of the word
@@ -116,7 +124,7 @@ def _lattice(pieces: Pieces, log_p: np.ndarray, hasher: w.Hasher, data: np.ndarr
     scores = np.where(which >= 0, log_p[which], -np.inf)
     byte = log_p[pieces.n + data.astype(np.int64)].copy()
     inside = np.arange(n) - np.repeat(starts, sizes)
-    byte[inside < len(WORD_MARK)] = -np.inf
+    byte[inside < marked] = -np.inf
     return which, scores, byte
 
 
@@ -141,7 +149,7 @@ def _forward(pieces: Pieces, scores: np.ndarray, starts: np.ndarray, sizes: np.n
     for j in range(1, int(sizes[0]) + 1):
         rows = np.arange(np.searchsorted(-sizes, -j, "right"))
         ends = _ending_at(scores, starts, pieces.longest, j, rows)
-        alpha[rows, j] = _sum_logs(ends + alpha[rows][:, j - 1 - np.arange(ends.shape[1])])
+        alpha[rows, j] = _sum_logs(ends + alpha[rows[:, None], j - 1 - np.arange(ends.shape[1])])
     return alpha
 
 
@@ -166,6 +174,49 @@ def _expected_uses(pieces, which, scores, byte, both, data, alpha, starts, sizes
     return uses
 
 
+def _frame(pieces: Pieces, log_p: np.ndarray, hasher: w.Hasher, word: np.ndarray, low: int) -> tuple:
+    """The lattice of some bytes of a word, made with the bytes behind them that their pieces reach."""
+    data = word[low : low + FRAME_BYTES + pieces.longest]
+    inside = min(FRAME_BYTES, len(word) - low)
+    marked = len(WORD_MARK) if low == 0 else 0
+    which, scores, byte = _lattice(pieces, log_p, hasher, data, np.zeros(1, int), np.array([len(data)]), marked)
+    both = scores.copy()
+    both[:, 0] = np.logaddexp(scores[:, 0], byte)
+    return which[:inside], scores[:inside], byte[:inside], both[:inside]
+
+
+def long_lattice(word: np.ndarray, count: float | None, pieces: Pieces, log_p: np.ndarray, hasher: w.Hasher):
+    """Log probability and expected uses of one long word: time and memory grow with its length.
+
+    Only the forward and backward sums of all places are kept, and lattices are
+    made anew on the way back.
+    """
+    n, longest = len(word), pieces.longest
+    frames = range(0, n, FRAME_BYTES)
+    alpha = np.full(n + longest + 1, -np.inf)
+    alpha[0] = 0.0
+    for low in frames:
+        for i, row in enumerate(_frame(pieces, log_p, hasher, word, low)[3], low + 1):
+            ahead = alpha[i : i + longest]
+            np.logaddexp(ahead, row + alpha[i - 1], out=ahead)
+    uses = np.zeros(pieces.n + 257)
+    if count is None:
+        return alpha[n], uses
+    beta = np.full(n + longest + 1, -np.inf)
+    beta[n] = 0.0
+    for low in reversed(frames):
+        which, scores, byte, both = _frame(pieces, log_p, hasher, word, low)
+        for i in range(len(both) - 1, -1, -1):
+            beta[low + i] = np.logaddexp.reduce(both[i] + beta[low + i + 1 : low + i + 1 + longest])
+        after = np.lib.stride_tricks.sliding_window_view(beta, longest)[low + 1 : low + 1 + len(both)]
+        base = alpha[low : low + len(both)] + np.log(count) - alpha[n]
+        used = which >= 0
+        uses += np.bincount(which[used], np.exp((scores + after + base[:, None])[used]), minlength=len(uses))
+        single = np.exp(byte + after[:, 0] + base)
+        uses += np.bincount(pieces.n + word[low : low + len(both)].astype(np.int64), single, minlength=len(uses))
+    return alpha[n], uses
+
+
 def word_lattices(words: pa.Array, counts: np.ndarray | None, pieces: Pieces, log_p: np.ndarray, hasher: w.Hasher):
     """Log probability of every word and, given counts, the expected uses of pieces."""
     words = words.fill_null("")
@@ -173,6 +224,12 @@ def word_lattices(words: pa.Array, counts: np.ndarray | None, pieces: Pieces, lo
     sizes = np.array([len(word) for word in raw], np.int64)
     order = np.argsort(-sizes, kind="stable")
     out, uses, at = np.empty(len(raw)), np.zeros(pieces.n + 257), 0
+    while at < len(order) and sizes[order[at]] > FRAME_BYTES:
+        i = order[at]
+        count = None if counts is None else counts[i]
+        out[i], used = long_lattice(np.frombuffer(raw[i], np.uint8), count, pieces, log_p, hasher)
+        uses += used
+        at += 1
     while at < len(order):
         # A batch holds words of like size, longest first.
         room = max(1, BATCH_CELLS // (pieces.longest * int(sizes[order[at]])))

@@ -9,7 +9,8 @@ the source's blocks: whole passes first, then one that is cut where the quota
 ends.
 
 Nothing is summed over all documents of a source in one task: running sums are
-taken over blocks, and over the documents of the one block that is cut.
+taken over blocks, over the documents of the one block that is cut, and, where
+many rows have the doc_id of the document that is cut, over ranges of them.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from callmeter.llm.common import hash_key, n_words, text_of
+from callmeter.llm.common import KEY_BITS, PLACE, hash_key, in_files, n_words, placed, text_of
 from callmeter.sources.stored import stored
 
 # The exponent is found to one part in STEPS ** ROUNDS.
@@ -28,15 +29,25 @@ ROUNDS = 3
 
 BLOCK_DOCS = 4096
 
+# Rows of one doc_id are looked at in two to the power of this many ranges.
+RANGE_BITS = 12
+
 
 def counted(docs: DataFrame) -> DataFrame:
-    """doc_id, source and tokens of every document, stored.
+    """doc_id, source, tokens and place of every document, stored.
 
-    Tokens are words and one end, so no document is without.
+    Tokens are words and one end, so no document is without.  The place tells
+    rows apart that have no doc_id or the same; where a table is not in files
+    it holds for this one reading.
     """
-    return stored(
-        docs.select("doc_id", "source", (n_words(text_of()) + 1).alias("n_tokens")), "tokens"
-    )
+    tokens = (n_words(text_of()) + 1).alias("n_tokens")
+    return stored(with_place(docs, "doc_id", "source", tokens), "tokens")
+
+
+def with_place(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """Some columns of a table and ``place``, one number for the place of a row in its files."""
+    rows = placed(in_files(docs), *columns)
+    return rows.withColumn("place", F.xxhash64(*PLACE)).drop(*PLACE)
 
 
 def _measures(sources: DataFrame, exponents: list[float]) -> dict[float, tuple[float, float]]:
@@ -82,14 +93,15 @@ def find_exponent(sources: DataFrame, target_entropy: float, max_repeats: float)
     return 1.0 if n <= 1 else (low + 1) / STEPS**ROUNDS
 
 
-def _keys(seed: int, passes: Column) -> tuple[Column, Column]:
-    """Places of a block, and of a document in its block, in the permutation of one pass."""
-    block = hash_key(F.lit(seed), passes, F.lit("block"), F.col("block"))
-    return block, hash_key(F.lit(seed), passes, F.lit("doc"), F.coalesce("doc_id", F.lit(-1)))
+def _keys(seed: int, passes: Column) -> tuple[Column, Column, Column]:
+    """Keys of a block, of a document in its block and of a row of a document in the permutation of one pass."""
+    kinds = {"block": F.col("block"), "doc": _name(), "row": F.col("place")}
+    return tuple(hash_key(F.lit(seed), passes, F.lit(kind), of) for kind, of in kinds.items())
 
 
-def _same_source(left: DataFrame, right: DataFrame) -> Column:
-    return left["source"].eqNullSafe(right["source"])
+def _name() -> Column:
+    """What names a document: its doc_id, or else its place."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("at "), F.col("place").cast("string")))
 
 
 def source_plan(
@@ -135,47 +147,68 @@ def source_plan(
     )
     sources = stored(sources, "quotas")
 
-    last = F.col("whole_passes") + 1
-    block_key, doc_key = _keys(seed, last)
-    placed = _placed(tokens, sources).select("source", "n_tokens", "rest", "block", block_key.alias("block_key"), doc_key.alias("doc_key"))
-    blocks = placed.groupBy("source", "rest", "block", "block_key").agg(F.sum("n_tokens").alias("tokens"))
-    in_order = Window.partitionBy("source").orderBy("block_key", "block")
-    before = F.sum("tokens").over(in_order) - F.col("tokens")
-    cut = stored(
-        blocks.withColumn("before", before)
-        .filter((F.col("before") <= F.col("rest")) & (F.col("before") + F.col("tokens") > F.col("rest")))
-        .select("source", "block", F.col("block_key").alias("cut_block"), (F.col("rest") - F.col("before")).alias("room")),
-        "cut-blocks",
+    block_key, doc_key, row_key = _keys(seed, F.col("whole_passes") + 1)
+    keyed = _placed(tokens, sources).select(
+        "source", "n_tokens", "rest", block_key.alias("block_key"), doc_key.alias("doc_key"), row_key.alias("row_key")
     )
-    same = placed["source"].eqNullSafe(cut["source"]) & (placed["block"] == cut["block"])
-    inside = placed.join(cut, same).select(cut["source"], "room", "n_tokens", "doc_key")
-    running = F.sum("n_tokens").over(Window.partitionBy("source").orderBy("doc_key"))
-    last_doc = (
-        inside.withColumn("running", running)
-        .filter(F.col("running") <= F.col("room"))
-        .groupBy("source")
-        .agg(F.max("doc_key").alias("cut_doc"))
-    )
-    plan = sources.join(cut.select("source", "cut_block"), _same_source(sources, cut), "left").select(
-        sources["*"], "cut_block"
+    # The last pass is cut in one block, there in one document, and there, if
+    # many rows have its doc_id, in one range of them and at last after one row.
+    whole = sources.select("source", F.col("rest").alias("room"))
+    part = F.shiftright("row_key", KEY_BITS - RANGE_BITS)
+    cut_block = _cut(keyed, whole, "cut_block", block_key=F.col("block_key"))
+    cut_doc = _cut(_at(keyed, cut_block, block_key="cut_block"), cut_block, "cut_doc", doc_key=F.col("doc_key"))
+    in_doc = _at(keyed, cut_block, block_key="cut_block")
+    in_doc = stored(_at(in_doc, cut_doc, doc_key="cut_doc"), "cut-document")
+    cut_range = _cut(in_doc, cut_doc, "cut_range", range_key=part)
+    in_range = _at(in_doc.withColumn("range_key", part), cut_range, range_key="cut_range")
+    cut_row = _cut(in_range, cut_range, "first_out", row_key=F.col("row_key"))
+    plan = sources
+    for cut, name in ((cut_block, "cut_block"), (cut_doc, "cut_doc"), (cut_row, "first_out")):
+        found = cut.select(F.col("source").alias("cut_source"), name)
+        plan = plan.join(found, F.col("source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
+    # Rows before the first one that is left out are used.
+    return stored(plan.withColumn("cut_row", F.col("first_out") - 1).drop("first_out"), "mixture")
+
+
+def _at(rows: DataFrame, cuts: DataFrame, **places: str) -> DataFrame:
+    """The rows of each source at the place of its cut."""
+    named = cuts.select(F.col("source").alias("cut_source"), *places.values())
+    same = F.col("source").eqNullSafe(F.col("cut_source"))
+    for name, cut in places.items():
+        same = same & (F.col(name) == F.col(cut))
+    return rows.join(named, same, "left_semi")
+
+
+def _cut(rows: DataFrame, rooms: DataFrame, name: str, **key: Column) -> DataFrame:
+    """For each source the first key at which its rows exceed its room, and the room left for that key.
+
+    Rows are summed by the key before their order is looked at.
+    """
+    ((key_name, value),) = key.items()
+    sums = rows.groupBy("source", value.alias(key_name)).agg(F.sum("n_tokens").alias("tokens"))
+    limits = rooms.select(F.col("source").alias("limited"), "room")
+    joined = sums.join(limits, F.col("source").eqNullSafe(F.col("limited"))).drop("limited")
+    before = F.sum("tokens").over(Window.partitionBy("source").orderBy(key_name)) - F.col("tokens")
+    found = (
+        joined.withColumn("before", before)
+        .filter((F.col("before") <= F.col("room")) & (F.col("before") + F.col("tokens") > F.col("room")))
+        .select("source", F.col(key_name).alias(name), (F.col("room") - F.col("before")).alias("room"))
     )
-    plan = plan.join(last_doc, _same_source(plan, last_doc), "left").select(plan["*"], "cut_doc")
-    return stored(plan, "mixture")
+    return stored(found, name.replace("_", "-"))
 
 
 def _placed(tokens: DataFrame, sources: DataFrame) -> DataFrame:
     """Documents with the quota of their source and their block in it."""
-    joined = tokens.join(sources, _same_source(tokens, sources)).drop(sources["source"])
-    place = hash_key(F.lit("place"), F.coalesce("doc_id", F.lit(-1)))
-    return joined.withColumn("block", place % F.col("blocks"))
+    plan = sources.withColumnRenamed("source", "planned")
+    joined = tokens.join(plan, F.col("source").eqNullSafe(F.col("planned"))).drop("planned")
+    return joined.withColumn("block", hash_key(F.lit("place"), _name()) % F.col("blocks"))
 
 
 def _passes(seed: int) -> Column:
     """In how many passes a document is used."""
-    block_key, doc_key = _keys(seed, F.col("whole_passes") + 1)
-    first = (block_key < F.col("cut_block")) | (
-        (block_key == F.col("cut_block")) & (doc_key <= F.col("cut_doc"))
-    )
+    block_key, doc_key, row_key = _keys(seed, F.col("whole_passes") + 1)
+    in_doc = (doc_key < F.col("cut_doc")) | ((doc_key == F.col("cut_doc")) & (row_key <= F.col("cut_row")))
+    first = (block_key < F.col("cut_block")) | ((block_key == F.col("cut_block")) & in_doc)
     return F.col("whole_passes") + F.when(first & (F.col("rest") > 0), 1).otherwise(0)
 
 
@@ -187,7 +220,7 @@ def mixture(tokens: DataFrame, plan: DataFrame, seed: int = 0) -> DataFrame:
     and the partition of a large source is split.
     """
     used = _placed(tokens, plan).withColumn("passes", _passes(seed)).filter(F.col("passes") > 0)
-    block_key, doc_key = _keys(seed, F.col("pass"))
+    block_key, doc_key, _ = _keys(seed, F.col("pass"))
     return used.withColumn("pass", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("passes")))).select(
         "doc_id", "source", "n_tokens", "pass", "block", block_key.alias("block_key"), doc_key.alias("doc_key")
     )
@@ -197,9 +230,11 @@ def mixed_documents(docs: DataFrame, plan: DataFrame, seed: int = 0) -> DataFram
     """The documents, each as often as the mixture uses it, with the columns they came with.
 
     Decided per row from the plan, so the texts meet no table but the plan.
+    Rows without doc_id, or with the same, are told apart by their places in
+    files, so a table with such rows has to be in files when it is counted.
     """
     own = docs.columns
     kept = F.struct(*[F.col(f"`{name}`") for name in own]).alias("document")
-    rows = docs.select(F.col("doc_id"), F.col("source"), kept)
+    rows = with_place(docs, "doc_id", "source", kept)
     used = _placed(rows, plan).withColumn("passes", _passes(seed)).filter(F.col("passes") > 0)
     return used.select("document", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("passes")))).select("document.*")

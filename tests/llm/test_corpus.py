@@ -49,6 +49,23 @@ def test_mixture_within_a_budget(spark):
     assert 600 <= sum(r.n_tokens for r in mixing.mixture(tokens, plan).collect()) <= 700
 
 
+@pytest.mark.parametrize("doc_id", [None, 7, "some"])
+def test_rows_without_or_with_equal_doc_ids_are_used_one_by_one(spark, tmp_path, doc_id):
+    """A budget cuts among them like among others: quotas are met to one row."""
+    rows = [(i if doc_id == "some" and i % 3 else None if doc_id == "some" else doc_id, "two words", "en", "a") for i in range(3000)]
+    rows += [(10_000 + i, "two words", "en", "b") for i in range(1000)]
+    brute.frame(spark, rows).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    tokens = mixing.counted(docs)
+    plan = mixing.source_plan(tokens, 1.0, 10.0, budget=3 * 2000, block_docs=64)
+    quotas = {r.source: r.quota for r in plan.collect()}
+    used = Counter(r.source for r in mixing.mixture(tokens, plan).collect())
+    for source, quota in quotas.items():
+        assert quota - 3 < 3 * used[source] <= quota
+    out = mixing.mixed_documents(docs, plan)
+    assert Counter(r.source for r in out.collect()) == used
+
+
 def test_mixture_of_one_source_none_or_odd_rows(spark):
     for rows in ([], [(1, "a", None, "x")] * 4, brute.ODD_ROWS):
         docs = brute.frame(spark, rows)

@@ -8,7 +8,8 @@ from collections import defaultdict
 import pytest
 
 import brute
-from callmeter.llm import exact, neardup, superkmer
+from callmeter.llm import exact, neardup, sharding, superkmer
+from callmeter.llm.common import without_rows
 from callmeter.llm.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -55,6 +56,54 @@ def test_index_takes_a_later_load_for_copies_and_survives_a_second_run(spark, tm
     assert found == {9: (2, False), 3: (3, True)}
 
 
+def test_a_load_that_is_split_in_another_way_finds_its_own_entries(spark, tmp_path):
+    docs = [(i % 900, f"text {i % 700} " * 30, None, None) for i in range(3000)]
+    brute.frame(spark, docs).repartition(7).write.parquet(str(tmp_path / "docs"))
+    index = exact.DigestIndex(spark, "index_split", 4, str(tmp_path / "index"))
+    found, before = [], spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("128m", "2k"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            hashed = exact.hashed_rows(spark.read.parquet(str(tmp_path / "docs")))
+            digests = exact.summary(hashed)
+            index.add(digests, "one")
+            found.append(brute.ordered(exact.verdicts(hashed, digests, index, "one").collect()))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert found[0] == found[1] and sum("kept=True" in row for row in found[0]) == 700
+    index.forget()
+
+
+def test_merged_index_has_one_sorted_file_a_bucket(spark, tmp_path):
+    index = exact.DigestIndex(spark, "index_loads", 4, str(tmp_path / "index"))
+    for load in range(3):
+        rows = brute.frame(spark, [(i, f"text {i}") for i in range(100 * load, 100 * load + 150)])
+        index.add(exact.summary(exact.hashed_rows(exact.in_files(rows))), f"load {load}")
+    merged = index.merged("index_merged", str(tmp_path / "merged"))
+    assert brute.ordered(merged.rows().collect()) == brute.ordered(index.rows().collect())
+    assert merged.rows().count() == 350 and len(merged.rows().inputFiles()) == 4
+    for table in (index, merged):
+        table.forget()
+    exact.deduplicate(brute.frame(spark, [(1, "a")])).collect()
+    assert not [t.name for t in spark.catalog.listTables() if "index" in t.name and not t.isTemporary and t.name.startswith("digest_index")]
+
+
+@pytest.mark.parametrize("stored", [False, True])
+def test_a_column_named_like_the_file_metadata_does_no_harm(spark, tmp_path, stored):
+    rows = [(i, text) for i, (_, text) in enumerate(brute.ODD_ROWS[:16])]
+    docs = brute.frame(spark, rows).withColumnRenamed("row", "_metadata")
+    if stored:
+        docs.write.parquet(str(tmp_path / "docs"))
+        docs = spark.read.parquet(str(tmp_path / "docs"))
+    assert exact.deduplicate(docs).count() == len(rows)
+    assert neardup.near_duplicates(docs).count() == len(rows)
+    assert superkmer.remove_repeats(docs).count() == len(rows)
+    assert sharding.shard_documents(docs, 1000).count() == len(rows)
+    in_files = exact.in_files(docs)
+    kept = without_rows(in_files, exact.deduplicate(in_files).filter("not kept"))
+    assert kept.columns == docs.columns and kept.count() == len({text or "" for _, text in rows})
+
+
 @pytest.mark.parametrize("n", [2, 5])
 def test_near_copies_of_odd_rows(spark, n):
     out = neardup.near_duplicates(brute.frame(spark, brute.ODD_ROWS), neardup.Likeness(words=n)).collect()

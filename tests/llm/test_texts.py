@@ -2,6 +2,7 @@
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -152,7 +153,7 @@ def vocabulary():
     for i in range(model.get_piece_size()):
         text = model.id_to_piece(i).encode()
         plain = not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))
-        if plain and lm.WORD_MARK not in text[1:] and len(text) <= lm.LONGEST_PIECE and text == text.lower():
+        if plain and lm.WORD_MARK not in text[1:] and text == text.lower():
             names.append(text)
     table = {text: math.exp(log_p[i]) for i, text in enumerate(names)}
     return pieces, log_p, table, np.exp(log_p[pieces.n : pieces.n + 256])
@@ -173,6 +174,31 @@ def test_long_words_can_be_one_piece(vocabulary):
     assert all(0 < p <= math.exp(log) * (1 + 1e-9) for p, log in zip(whole, got))
 
 
+def test_long_words_are_gone_through_in_frames(vocabulary, monkeypatch):
+    pieces, log_p, table, byte_p = vocabulary
+    draw = np.random.default_rng(2)
+    parts = ["tion", "re", "x", "é", "日", "the", "ing", "zz"]
+    found = ["".join(draw.choice(parts, n)) for n in (1, 20, 25, 100, 300)]
+    counts = np.arange(1.0, 6.0)
+    want = lm.word_lattices(pa.array(found), counts, pieces, log_p, lm.lattice_hasher())
+    assert want[0][:3] == pytest.approx([brute_word(word.encode(), table, byte_p) for word in found[:3]], rel=1e-9)
+    for size in (1, 7, 64):
+        monkeypatch.setattr(lm, "FRAME_BYTES", size)
+        got = lm.word_lattices(pa.array(found), counts, pieces, log_p, lm.lattice_hasher())
+        assert got[0] == pytest.approx(want[0], rel=1e-12) and got[1] == pytest.approx(want[1], rel=1e-9)
+
+
+def test_time_grows_with_the_length_of_a_word(vocabulary):
+    pieces, log_p, *_ = vocabulary
+    took = []
+    for n in (20_000, 200_000):
+        start = time.process_time()
+        got, uses = lm.word_lattices(pa.array(["ab" * (n // 2)]), np.ones(1), pieces, log_p, lm.lattice_hasher())
+        took.append(time.process_time() - start)
+        assert -math.inf < got[0] < 0 and uses.sum() > n / pieces.longest
+    assert took[1] < 25 * took[0]
+
+
 def test_expected_uses_are_the_derivative_of_the_likelihood(vocabulary):
     pieces, log_p, *_ = vocabulary
     found, counts = pa.array(["thing", "the"]), np.array([3.0, 2.0])
@@ -286,6 +312,39 @@ def test_languages_of_odd_rows(spark):
     assert brute.ordered(r.doc_id for r in kept.collect()) == brute.ordered(i for i, ok in want if ok)
 
 
+def test_spans_and_switches_of_code_switched_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    by_lang = {}
+    for row in docs.filter("n_chars between 600 and 3000").orderBy("doc_id").collect():
+        by_lang.setdefault(row.lang, row.text)
+    parts = [" ".join(brute.words(by_lang[lang])[:60]) for lang in ("en", "de", "fr")]
+    mixed = " ".join(parts)
+    codes = " ".join(f"{zlib.crc32(str(i).encode()):x}" for i in range(200))
+    rows = [(1, mixed), (2, parts[0]), (3, None), (4, ""), (5, codes), (1, mixed), (6, "9f3a 77c0e")]
+    frame = brute.frame(spark, rows)
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in langid.language_spans(frame, model).collect()}
+    covered = Counter()
+    for lang, start, length in spans[1]:
+        covered.update({lang: length})
+    assert sum(covered.values()) == 180 and spans[1][0][1] == 0
+    assert all(covered[lang] > 40 for lang in ("en", "de", "fr"))
+    assert all(a[1] + a[2] == b[1] and a[0] != b[0] for a, b in zip(spans[1], spans[1][1:]))
+    assert spans[3] == spans[4] == []
+    out = {r.doc_id: r for r in langid.identify(frame, model).collect()}
+    assert out[1].n_switches == len(spans[1]) - 1 >= 2 and out[1].certainty > 0.7
+    kept = [r.doc_id for r in langid.keep_identified(frame, model).collect()]
+    # The mixed text stays and so do a few words; what are words of no language go.
+    assert sorted(kept) == [1, 1, 2, 6] and out[5].certainty < model.floor < langid.LEAST_CERTAINTY
+
+
+def test_the_table_of_weights_is_bounded():
+    for k in (1, 4, 64):
+        assert langid.table_rows(k) == (langid.GRAM_ROWS, langid.LEXICON_ROWS)
+    for k in (65, 200, 1000, 100_000):
+        assert sum(langid.table_rows(k)) * k * 4 <= 48 << 20
+
+
 def test_languages_without_anything_to_learn(spark):
     assert langid.identify(brute.frame(spark, [])).collect() == []
     out = langid.identify(brute.frame(spark, [(1, "some words")])).collect()
