@@ -6,6 +6,12 @@ minimiser travel together, as one string, to the bucket of the minimiser.  All
 places of one word sequence therefore meet in one bucket, where windows are
 sorted and the smallest doc_id of each is found exactly.
 
+A run that would be the minimiser of very many strings, as one of common words
+may be, would fill its bucket.  So minimisers are counted first, and the most
+frequent ones come last in the order by which the least is chosen: windows over
+them go to the bucket of another of their eleven runs.  Any order finds all
+windows, as long as it is the same for all texts.
+
 Strings of one bucket that come from one chunk of texts are packed and
 compressed, so words are shuffled about twice and not 13 times.  A string that
 occurs many times in a chunk is sent once, with the range of its doc_ids; its
@@ -21,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +41,13 @@ GRAM = 3
 # Places of one string in one chunk above which they travel apart from it.
 OFTEN = 16
 
+# Strings from which a minimiser counts as frequent, how many such runs are told
+# apart at most, the most frequent ones, and strings of a task that are counted.
+FREQUENT_LEAST = 2000
+FREQUENT_RUNS = 1 << 16
+COUNTED_LEAST = 4
+COUNTED_AT_ONCE = 1 << 21
+
 # Strings and texts overlap and repeat little, but cost more to move than to compress.
 LEVEL = 6
 
@@ -73,11 +87,20 @@ def least_of(values: np.ndarray, n: int) -> np.ndarray:
     return np.minimum(out[:-rest], out[rest:]) if rest else out
 
 
-def super_kmers(hashes: np.ndarray, docs: np.ndarray):
+def run_order(hashes: np.ndarray, frequent: np.ndarray) -> np.ndarray:
+    """Hashes of all runs of 3 words as they are ordered: those in a sorted list come last."""
+    runs = w.runs_hash(hashes, GRAM) >> np.uint64(1)
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, runs), len(frequent) - 1)
+        runs |= (frequent[at] == runs).astype(np.uint64) << np.uint64(63)
+    return runs
+
+
+def super_kmers(hashes: np.ndarray, docs: np.ndarray, frequent: np.ndarray = np.empty(0, np.uint64)):
     """First window, number of windows and minimiser of every super-k-mer."""
     if len(hashes) < WINDOW:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)
-    least = least_of(w.runs_hash(hashes, GRAM), WINDOW - GRAM + 1)
+    least = least_of(run_order(hashes, frequent), WINDOW - GRAM + 1)
     inside = docs[: len(least)] == docs[WINDOW - 1 :]
     starts = np.flatnonzero(inside)
     if not len(starts):
@@ -89,6 +112,41 @@ def super_kmers(hashes: np.ndarray, docs: np.ndarray):
     return starts[first], np.diff(np.append(first, len(starts))), least[starts[first]]
 
 
+def _count_minimisers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many strings of a task have each minimiser, but for the rarest."""
+    words, held, size = w.Hasher(10), [], 0
+
+    def summed() -> pa.Table:
+        return pa.concat_tables(held).group_by("run").aggregate([("n", "sum")]).rename_columns(["run", "n"])
+
+    def counted() -> Iterator[pa.RecordBatch]:
+        table = summed()
+        yield from table.filter(pc.greater_equal(table["n"], COUNTED_LEAST)).to_batches()
+
+    for batch in batches:
+        for chunk in w.chunks(batch.column("text"), CHUNK_BYTES):
+            hashes = words.spans(chunk.data, chunk.starts, chunk.ends)
+            runs, counts = np.unique(super_kmers(hashes, chunk.doc_of_word())[2], return_counts=True)
+            held.append(pa.table({"run": runs.view(np.int64), "n": counts}))
+            size += len(runs)
+            if size > COUNTED_AT_ONCE:
+                held = [summed()]
+                size = held[0].num_rows
+                if size > COUNTED_AT_ONCE // 2:
+                    yield from counted()
+                    held, size = [], 0
+    if held:
+        yield from counted()
+
+
+def frequent_runs(docs: DataFrame) -> np.ndarray:
+    """Runs of words that are the minimisers of very many strings, sorted; at most FREQUENT_RUNS numbers."""
+    counts = docs.select("text").mapInArrow(_count_minimisers, "run bigint, n bigint")
+    many = counts.groupBy("run").agg(F.sum("n").alias("n")).filter(F.col("n") >= FREQUENT_LEAST)
+    found = many.orderBy(F.desc("n"), "run").limit(FREQUENT_RUNS).collect()
+    return np.sort(np.array([row.run for row in found], np.int64).view(np.uint64))
+
+
 def single_spaced(chunk: w.Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The words of a chunk with one space after each, and their new places."""
     sizes = chunk.ends - chunk.starts
@@ -165,7 +223,7 @@ def _gather(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(offsets[-1]) + np.repeat(starts - offsets[:-1], sizes)
 
 
-def _send(buckets: int):
+def _send(buckets: int, frequent: np.ndarray):
     """What each chunk of texts has to say: its texts, its blocks, its places of frequent strings."""
     schema = SENT_ROWS
 
@@ -192,7 +250,7 @@ def _send(buckets: int):
                 )
                 docs = chunk.doc_of_word()
                 hashes = words.spans(data, starts, ends)
-                first, windows, least = super_kmers(hashes, docs)
+                first, windows, least = super_kmers(hashes, docs, frequent)
                 if not len(first):
                     continue
                 key = _runs_key(hashes, first, windows + WINDOW - 1, runs)
@@ -306,9 +364,9 @@ def _resolve(blocks: list[bytes], hashers: tuple[w.Hasher, w.Hasher]) -> Iterato
             FOUND_ROWS, len(begin), kind=3, row=entries["row"][which], at=entries["at"][which] + inside,
             length=np.diff(np.append(begin, len(at))),
         )
-    answers = []
+    answers, upto = [], np.concatenate([[0], np.cumsum(windows)])
     for entry in np.flatnonzero(frequent):
-        span = slice(int(windows[:entry].sum()), int(windows[: entry + 1].sum()))
+        span = slice(int(upto[entry]), int(upto[entry + 1]))
         if least[span].min() < high[entry]:
             answers.append((*_digest(text[offsets[entry] : offsets[entry + 1]].tobytes()), least[span].tolist()))
     if answers:
@@ -403,7 +461,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     parts = shuffle_partitions(spark)
     # Windows that overlap are sent in strings of about three times the text.
     buckets = max(parts, -(-3 * size // BUCKET_BYTES))
-    sent = numbered(docs, "row").mapInArrow(_send(buckets), SENT)
+    sent = numbered(docs, "row").mapInArrow(_send(buckets, frequent_runs(docs)), SENT)
     dealt = sent.repartition(parts, "bucket").sortWithinPartitions("bucket", "kind")
     found = stored(dealt.mapInArrow(_find, FOUND), "windows")
 

@@ -167,6 +167,55 @@ def test_passages_query(spark, docs):
     assert brute.ordered((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in out) == brute.ordered(want)
 
 
+def test_a_run_that_many_texts_share_is_no_minimiser(spark, monkeypatch):
+    """A third of the texts hold the same three words, of the least hash there is, in different surroundings."""
+    import numpy as np
+    import pyarrow as pa
+
+    from callmeter.llm import words as w
+
+    draw, hasher = random.Random(5), w.Hasher(10)
+
+    def runs(text):
+        chunk = next(w.chunks(pa.array([text])))
+        return superkmer.run_order(hasher.spans(chunk.data, chunk.starts, chunk.ends), np.empty(0, np.uint64))
+
+    shared = min((f"s{i} t{i} u{i}" for i in range(3000)), key=lambda text: runs(text)[0])
+    rows = []
+    for i in range(240):
+        found = [f"w{draw.randrange(3000)}" for _ in range(90)]
+        for place in range(10, 90, 15) if i % 3 == 0 else []:
+            found[place] = shared
+        rows.append((i, " ".join(found)))
+    rows += [(1000 + i, rows[3 * i][1]) for i in range(10)]
+
+    def strings_of_shared(frequent):
+        (chunk,) = w.chunks(pa.array([text for _, text in rows]))
+        hashes = hasher.spans(chunk.data, chunk.starts, chunk.ends)
+        least = superkmer.super_kmers(hashes, chunk.doc_of_word(), frequent)[2]
+        return int((least << np.uint64(1) == runs(shared)[0] << np.uint64(1)).sum())
+
+    assert strings_of_shared(np.empty(0, np.uint64)) > 400
+    monkeypatch.setattr(superkmer, "FREQUENT_LEAST", 100)
+    frequent = superkmer.frequent_runs(brute.frame(spark, rows))
+    assert frequent.tolist() == [runs(shared)[0]]
+    assert strings_of_shared(frequent) == 0
+    out = superkmer.remove_repeats(brute.frame(spark, rows)).collect()
+    want = [(i, *rest) for (i, _), rest in zip(rows, brute.without_repeats(rows))]
+    assert brute.ordered((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in out) == brute.ordered(want)
+
+
+@pytest.mark.parametrize("least", [1, 3])
+def test_any_order_of_runs_finds_all_passages(spark, docs, monkeypatch, least):
+    monkeypatch.setattr(superkmer, "FREQUENT_LEAST", least)
+    monkeypatch.setattr(superkmer, "COUNTED_LEAST", 1)
+    monkeypatch.setattr(superkmer, "COUNTED_AT_ONCE", 1000)
+    rows = docs[:60] + brute.ODD_ROWS
+    out = superkmer.remove_repeats(brute.frame(spark, rows)).collect()
+    want = [(i, *rest) for (i, _), rest in zip(rows, brute.without_repeats(rows))]
+    assert brute.ordered((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in out) == brute.ordered(want)
+
+
 def test_a_super_kmer_goes_to_one_bucket_and_covers_every_window():
     import numpy as np
 
