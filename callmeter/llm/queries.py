@@ -55,6 +55,58 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _numbered_words_sql(text: str) -> str:
+    return rf"""
+words AS (
+  SELECT doc_id, unnest(found) AS word, unnest(range(len(found))) AS i
+  FROM (SELECT doc_id, regexp_extract_all({text}, '[^\x20\x09-\x0D]+') AS found FROM documents)
+)"""
+
+
+# Two sets that are similar by 0.8 share one of so many of their rarest shingles.
+OP2_SQL = f"""
+WITH RECURSIVE {_numbered_words_sql(f"translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}')")},
+runs AS (
+  SELECT doc_id, word, lead(word) OVER (PARTITION BY doc_id ORDER BY i) AS next,
+         count(*) OVER (PARTITION BY doc_id) AS n_words
+  FROM words
+),
+shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN n_words = 1 THEN word ELSE word || ' ' || next END AS shingle
+  FROM runs WHERE n_words = 1 OR next IS NOT NULL
+),
+ranked AS (
+  SELECT doc_id, shingle, n, row_number() OVER (PARTITION BY doc_id ORDER BY uses, shingle) AS place
+  FROM (SELECT *, count(*) OVER (PARTITION BY shingle) AS uses, count(*) OVER (PARTITION BY doc_id) AS n
+        FROM shingles)
+),
+rarest AS (
+  SELECT doc_id, shingle, n FROM ranked WHERE place <= n - (80 * n + 99) // 100 + 1
+),
+candidates AS (
+  SELECT DISTINCT a.doc_id AS low, b.doc_id AS high, a.n + b.n AS n_both
+  FROM rarest AS a JOIN rarest AS b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  WHERE 100 * a.n >= 80 * b.n AND 100 * b.n >= 80 * a.n
+),
+links AS (
+  SELECT low, high
+  FROM candidates JOIN shingles AS a ON a.doc_id = low JOIN shingles AS b ON b.doc_id = high AND b.shingle = a.shingle
+  GROUP BY low, high, n_both
+  HAVING 100 * count(*) >= 80 * (n_both - count(*))
+),
+edges AS (SELECT low, high FROM links UNION ALL SELECT high, low FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM documents
+  UNION
+  SELECT reach.doc_id, edges.high FROM reach JOIN edges ON reach.other = edges.low
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, min(other) AS component_id, min(other) = doc_id AS kept
+FROM reach LEFT JOIN sizes USING (doc_id)
+GROUP BY doc_id
+"""
+
+
 MARKS_IN_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -360,6 +412,39 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_WINDOW_SQL = " || ' ' || ".join(["word", *(f"lead(word, {i}) OVER later" for i in range(1, superkmer.WINDOW))])
+
+OP10_SQL = f"""
+WITH {_numbered_words_sql("coalesce(text, '')")},
+windows AS (
+  SELECT doc_id, i, {_WINDOW_SQL} AS found
+  FROM words
+  WINDOW later AS (PARTITION BY doc_id ORDER BY i)
+),
+firsts AS (
+  SELECT found, min(doc_id) AS first_id FROM windows WHERE found IS NOT NULL
+  GROUP BY found HAVING min(doc_id) < max(doc_id)
+),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + {superkmer.WINDOW})) AS i
+  FROM windows JOIN firsts USING (found)
+  WHERE first_id < doc_id
+),
+marked AS (
+  SELECT words.doc_id, words.i, word, gone.i IS NOT NULL AS gone
+  FROM words LEFT JOIN gone ON words.doc_id = gone.doc_id AND words.i = gone.i
+),
+kept AS (
+  SELECT doc_id, count(*) AS n_words, count(*) FILTER (WHERE gone) AS n_removed,
+         sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+  FROM marked GROUP BY doc_id
+)
+SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       coalesce(kept_sha256, sha256('')) AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -379,8 +464,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": OP1_SQL,
+    "op2_minhash_near_dedup": OP2_SQL,
     "op3_chat_format": OP3_SQL,
     "op7_temperature_mixing": OP7_SQL,
     "op8_extendible_sharding": OP8_SQL,
+    "op10_super_kmers": OP10_SQL,
     "op12_license_scan": licenses_sql(SIGNATURES),
 }
