@@ -11,9 +11,11 @@ From a list of moderate length come pairs, which the estimate from the sketch
 of their union filters.  The members of a longer list are chained, not paired.
 Nodes connected so far form a group, and in a group full sets are compared
 exactly: a node is counted against all others by an inverted index, until all
-nodes not yet counted are connected anyway.  A large group is cut in blocks,
-each pair of which is a task of bounded size.  Links are what the exact
-comparison found, and components are taken over links.
+nodes not yet counted are connected anyway.  In a large group all nodes are
+compared with one of them first, in blocks, which links most copies of one
+text at a cost in proportion to their number.  The nodes that are left over, if
+any, are compared with the whole group, block by block.  Links are what the
+exact comparison found, and components are taken over links.
 """
 
 from __future__ import annotations
@@ -38,6 +40,9 @@ LIST_PAIRS = 64
 BLOCK_NODES = 2048
 BLOCK_SHINGLES = 2_000_000
 
+# Nodes of a large group that are compared with its first one in one unit.
+STAR_NODES = 256
+
 # Fixed value: flipped, it lets signed values have the order of unsigned hashes.
 SIGN = np.uint64(1 << 63)
 
@@ -214,11 +219,24 @@ def components(edges: DataFrame) -> DataFrame:
             return labels.withColumnRenamed("label", "component")
 
 
-def link_nodes(rows: np.ndarray, sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+def star_links(rows: np.ndarray, sets: list[np.ndarray], percent: int, known: np.ndarray) -> list[tuple[int, int]]:
+    """Links between the one known node and those that are similar to it."""
+    (middle,) = np.flatnonzero(known)
+    sizes = np.array([len(s) for s in sets])
+    owners = np.repeat(np.arange(len(rows)), sizes)
+    both = np.bincount(owners[np.isin(np.concatenate(sets), sets[middle])], minlength=len(rows))
+    similar = both * 100 >= (sizes + sizes[middle] - both) * percent
+    return [(int(rows[middle]), int(row)) for row in rows[similar & ~known]]
+
+
+def link_nodes(
+    rows: np.ndarray, sets: list[np.ndarray], percent: int, known: np.ndarray | None = None
+) -> list[tuple[int, int]]:
     """Links that connect what is similar among some sets, compared exactly.
 
     A node is counted against all others through an inverted index.  Done when
-    all nodes that were not counted are in one component.
+    all nodes that were not counted are in one component.  Known nodes are
+    linked among themselves already.
     """
     n = len(rows)
     sizes = np.array([len(s) for s in sets])
@@ -231,6 +249,8 @@ def link_nodes(rows: np.ndarray, sets: list[np.ndarray], percent: int) -> list[t
     # The node with the most common shingles, for its size, stands in the middle.
     common = np.add.reduceat(np.diff(begin)[value].astype(float), first[:-1]) / sizes
     component, open_nodes, links = np.arange(n), np.ones(n, bool), []
+    if known is not None and known.any():
+        component[known] = np.flatnonzero(known)[0]
     while True:
         labels, counts = np.unique(component[open_nodes], return_counts=True)
         if len(labels) < 2:
@@ -253,25 +273,30 @@ def link_nodes(rows: np.ndarray, sets: list[np.ndarray], percent: int) -> list[t
                 component[component == label] = component[x]
 
 
-def _link_groups(percent: int):
-    """Links within the units of a partition, which come in order."""
+def _link_units(compare, percent: int):
+    """Links that a comparison finds within the units of a partition, which come in order."""
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, rows, sets = None, [], []
+        current, rows, sets, known = None, [], [], []
         found: list[tuple[int, int]] = []
+
+        def compared() -> list[tuple[int, int]]:
+            return compare(np.array(rows), sets, percent, np.array(known)) if len(rows) > 1 else []
+
         for batch in batches:
             keys = list(zip(*(batch.column(name).to_pylist() for name in ("unit_group", "unit"))))
             offsets = np.asarray(batch.column("shingles").offsets)
             flat = batch.column("shingles").values.to_numpy()
-            for i, (key, row) in enumerate(zip(keys, batch.column("row").to_pylist())):
+            members = zip(keys, batch.column("row").to_pylist(), batch.column("known").to_pylist())
+            for i, (key, row, is_known) in enumerate(members):
                 if key != current and rows:
-                    found += link_nodes(np.array(rows), sets, percent) if len(rows) > 1 else []
-                    rows, sets = [], []
+                    found += compared()
+                    rows, sets, known = [], [], []
                 current = key
                 rows.append(row)
                 sets.append(flat[offsets[i] : offsets[i + 1]])
-        if len(rows) > 1:
-            found += link_nodes(np.array(rows), sets, percent)
+                known.append(is_known)
+        found += compared()
         table = np.array(found, np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
             [pa.array(table.min(axis=1) if len(table) else table[:, 0]), pa.array(table.max(axis=1) if len(table) else table[:, 1])],
@@ -281,37 +306,74 @@ def _link_groups(percent: int):
     return link
 
 
+def _linked(docs: DataFrame, nodes: DataFrame, dealt: DataFrame, like: Likeness, compare) -> DataFrame:
+    """Links that a comparison finds among nodes dealt to the units of their groups, stored.
+
+    dealt has row, unit_group, units and known; a node's set goes to each of its units.
+    """
+    where = dealt.join(nodes.select("row", "file_key", "file_row"), "row")
+    sets = docs.select("file_key", "file_row", "text").join(where, ["file_key", "file_row"])
+    sets = sets.select("row", "unit_group", "units", "known", "text").mapInArrow(
+        _full_sets(like.words),
+        "row bigint, unit_group bigint, units array<bigint>, known boolean, shingles array<bigint>",
+    )
+    parts = shuffle_partitions(docs.sparkSession)
+    in_units = sets.select("row", "unit_group", F.explode("units").alias("unit"), "known", "shingles")
+    in_units = in_units.repartition(parts, "unit_group", "unit").sortWithinPartitions("unit_group", "unit")
+    return stored(in_units.mapInArrow(_link_units(compare, like.percent), "low bigint, high bigint"), "similar")
+
+
+def _upto(n: Column) -> Column:
+    return F.sequence(F.lit(0).cast("bigint"), n - 1)
+
+
+def _block(blocks: Column) -> Column:
+    """The block of a node, one of so many."""
+    return F.pmod(F.xxhash64("row"), blocks)
+
+
 def _links(docs: DataFrame, nodes: DataFrame, candidates: DataFrame, like: Likeness) -> DataFrame:
     """Exact links inside the groups that the candidates connect."""
-    parts = shuffle_partitions(docs.sparkSession)
     grouped = components(candidates).withColumnsRenamed({"node": "row", "component": "unit_group"})
     sized = grouped.join(nodes.select("row", "n_shingles"), "row")
-    blocks = sized.groupBy("unit_group").agg(
-        F.greatest(
-            F.ceil(F.count(F.lit(1)) / BLOCK_NODES), F.ceil(F.sum("n_shingles") / BLOCK_SHINGLES)
-        ).alias("blocks")
-    )
-    # With several blocks every pair of them is a unit, and a node is in all units of its block.
-    block = F.pmod(F.xxhash64("row"), F.col("blocks"))
-    others = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1), lambda b: b != F.col("block"))
-    unit = F.transform(
-        others, lambda b: F.least(F.col("block"), b) * F.col("blocks") + F.greatest(F.col("block"), b)
+    nodes_of, size_of = F.count(F.lit(1)), F.sum("n_shingles")
+    groups = sized.groupBy("unit_group").agg(
+        F.greatest(F.ceil(nodes_of / BLOCK_NODES), F.ceil(size_of / BLOCK_SHINGLES)).alias("blocks"),
+        F.greatest(F.ceil(nodes_of / STAR_NODES), F.ceil(size_of / BLOCK_SHINGLES)).alias("star_blocks"),
     )
-    units = F.when(F.col("blocks") == 1, F.array(F.lit(0).cast("bigint"))).otherwise(unit)
-    dealt = stored(
-        grouped.join(blocks, "unit_group").withColumn("block", block).select("row", "unit_group", units.alias("units")),
-        "groups",
+    grouped = stored(sized.join(groups, "unit_group"), "groups")
+    nobody = F.lit(False).alias("known")
+    small = grouped.filter("blocks = 1").select(
+        "row", "unit_group", F.array(F.lit(0).cast("bigint")).alias("units"), nobody
     )
-    dealt = dealt.join(nodes.select("row", "file_key", "file_row"), "row")
-    sets = docs.select("file_key", "file_row", "text").join(dealt, ["file_key", "file_row"]).select(
-        "row", "unit_group", "units", "text"
+    links = _linked(docs, nodes, small, like, link_nodes)
+    large = grouped.filter("blocks > 1")
+    if large.isEmpty():
+        return links
+
+    # The node that a group is named after is compared with all others.
+    middle = F.col("row") == F.col("unit_group")
+    units = F.when(middle, _upto(F.col("star_blocks"))).otherwise(F.array(_block(F.col("star_blocks"))))
+    stars = large.select("row", "unit_group", units.alias("units"), middle.alias("known"))
+    star = _linked(docs, nodes, stars, like, star_links)
+    left = large.filter(~middle).join(star.select(F.col("high").alias("row")), "row", "left_anti")
+    left = stored(left.select("row", "unit_group", "n_shingles"), "left-over")
+    links = links.unionByName(star)
+    if left.isEmpty():
+        return links
+
+    # Each block of what is left over meets each block of its group.
+    left_of = left.groupBy("unit_group").agg(
+        F.greatest(F.ceil(nodes_of / BLOCK_NODES), F.ceil(size_of / BLOCK_SHINGLES)).alias("left_blocks")
     )
-    sets = sets.mapInArrow(
-        _full_sets(like.words), "row bigint, unit_group bigint, units array<bigint>, shingles array<bigint>"
+    marked = large.join(left_of, "unit_group").join(
+        left.select("row", F.lit(True).alias("is_left")), "row", "left"
     )
-    dealt_sets = sets.select("row", "unit_group", F.explode("units").alias("unit"), "shingles")
-    dealt_sets = dealt_sets.repartition(parts, "unit_group", "unit").sortWithinPartitions("unit_group", "unit")
-    return stored(dealt_sets.mapInArrow(_link_groups(like.percent), "low bigint, high bigint"), "similar")
+    as_member = F.transform(_upto(F.col("left_blocks")), lambda i: i * F.col("blocks") + _block(F.col("blocks")))
+    as_left = F.transform(_upto(F.col("blocks")), lambda j: _block(F.col("left_blocks")) * F.col("blocks") + j)
+    units = F.when(F.col("is_left"), F.array_distinct(F.concat(as_member, as_left))).otherwise(as_member)
+    rest = marked.select("row", "unit_group", units.alias("units"), F.col("is_left").isNull().alias("known"))
+    return links.unionByName(_linked(docs, nodes, rest, like, link_nodes))
 
 
 def near_duplicates(docs: DataFrame, like: Likeness = Likeness()) -> DataFrame:

@@ -127,6 +127,54 @@ def test_long_lists_and_many_blocks_give_the_same_components(spark, docs, monkey
     assert brute.ordered((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute.ordered(want)
 
 
+@pytest.mark.parametrize("others", [0, 25])
+def test_copies_of_a_large_group_cost_one_comparison_each(spark, monkeypatch, others):
+    """Variants of one template are linked to the first; only what is not is compared with the group."""
+    monkeypatch.setattr(neardup, "BLOCK_NODES", 50)
+    monkeypatch.setattr(neardup, "STAR_NODES", 16)
+    draw, found = random.Random(9), []
+    linked = neardup._linked
+    monkeypatch.setattr(neardup, "_linked", lambda *args: found.append((args[-1], args[2])) or linked(*args))
+    template = [f"t{i}" for i in range(120)]
+    rows = []
+    for i in range(260):
+        own = list(template)
+        own[draw.randrange(120)] = f"x{i}"
+        rows.append((i, " ".join(own)))
+    for i in range(others):  # like one another and some variants, but not like the template
+        own = template[: 95 + i // 5] + [f"z{i // 5}y{j}" for j in range(12)]
+        rows.append((1000 + i, " ".join(own + [f"e{i}"])))
+    out = neardup.near_duplicates(brute.frame(spark, rows)).collect()
+    want = [(i, *rest) for (i, _), rest in zip(rows, brute.near_duplicates(rows, 5))]
+    assert brute.ordered((r.doc_id, r.n_shingles, r.component_id) for r in out) == brute.ordered(want)
+    stars = [dealt for compare, dealt in found if compare is neardup.star_links]
+    sent = sum(len(row.units) for dealt in stars for row in dealt.collect())
+    assert stars and sent <= (260 + others) * (1 + 2 / 16) + 2
+
+
+def test_comparisons_of_sets_agree():
+    import numpy as np
+
+    draw = random.Random(3)
+    sets = [np.array(sorted(draw.sample(range(60), draw.randint(20, 50)))) for _ in range(60)]
+    rows = np.arange(100, 160)
+    alike = {(i, j) for i in range(60) for j in range(i) if 100 * len(set(sets[i]) & set(sets[j])) >= 60 * len(set(sets[i]) | set(sets[j]))}
+    known = rows == 107
+    star = neardup.star_links(rows, sets, 60, known)
+    assert {b - 100 for _, b in star} == {i for i in range(60) if (max(i, 7), min(i, 7)) in alike}
+
+    def classes(links):
+        parent = list(range(60))
+        for a, b in links:
+            old, new = parent[a], parent[b]
+            parent = [new if p == old else p for p in parent]
+        return {frozenset(i for i in range(60) if parent[i] == p) for p in parent}
+
+    linked = np.isin(rows, [107, *(b for _, b in star)])
+    more = neardup.link_nodes(rows, sets, 60, linked)
+    assert classes([(a - 100, b - 100) for a, b in star + more]) == classes(alike)
+
+
 def test_texts_that_others_extend_are_linked(spark):
     """Sets of 65 to 150 shingles, one inside the other, similar by 0.80 to 0.84."""
     generator, rows = random.Random(7), []
