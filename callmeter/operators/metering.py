@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmeter.functions.clock import local_day, month_of, window_start
@@ -26,18 +26,24 @@ def period_buckets(log: DataFrame, settings: Settings = Settings()) -> DataFrame
 EARLIEST = ["userLogo", "userProject", "apiType", "chargeType"]
 
 
+def _no_values() -> Column:
+    """An aggregate that collects nothing.
+
+    Next to an aggregate that keeps objects Spark keeps all buffers as objects,
+    also the struct of the earliest record, and hashes the groups of a task
+    while they are few, where it would sort all records for a struct alone.
+    """
+    return F.collect_set(F.lit(None).cast("int"))
+
+
 def access_increments(log: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per window, user, API, app, status and parameter.
 
     Logo, project, API type, charge type and time are those of the earliest
     record of the group; among records of one millisecond, of the one whose
-    values sort first.
-
-    Records are first summed by the keys and these attributes together, with
-    buffers of fixed width, so raw records are hashed and never sorted.  The
-    minimum over a struct, which needs a sort, then sees few rows per group.
+    values sort first.  Records are summed per task before the one shuffle.
     """
-    summed = (
+    grouped = (
         log.select(
             window_start(F.col("add_time_ms"), settings.window_ms).alias("window_start"),
             F.col("userId").alias("user_id"),
@@ -50,18 +56,15 @@ def access_increments(log: DataFrame, settings: Settings = Settings()) -> DataFr
             "add_time_ms",
             *EARLIEST,
         )
-        .groupBy(*INCREMENT_KEYS, *EARLIEST)
+        .groupBy(*INCREMENT_KEYS)
         .agg(
             F.count(F.lit(1)).alias("call_count"),
             F.sum("accessFlow").alias("sum_flow"),
             F.sum("dealCount").alias("sum_deal"),
-            F.min("add_time_ms").alias("add_time_ms"),
+            F.min(F.struct("add_time_ms", *EARLIEST)).alias("earliest"),
+            _no_values().alias("no_values"),
         )
     )
-    grouped = summed.groupBy(*INCREMENT_KEYS).agg(
-        *[F.sum(name).alias(name) for name in ("call_count", "sum_flow", "sum_deal")],
-        F.min(F.struct("add_time_ms", *EARLIEST)).alias("earliest"),
-    )
     return _named(grouped, settings)
 
 
@@ -114,17 +117,12 @@ def access_increments_sql(
     """The same increments, asked for in SQL over the registered view."""
     grouped = spark.sql(
         f"""
-        SELECT window_start, userId AS user_id, apiId AS api_id, appId AS app_id, status, inParam AS in_param,
-               sum(call_count) AS call_count, sum(sum_flow) AS sum_flow, sum(sum_deal) AS sum_deal,
-               min(struct(add_time_ms, userLogo, userProject, apiType, chargeType)) AS earliest
-        FROM (
-          SELECT add_time_ms - pmod(add_time_ms, {settings.window_ms}) AS window_start,
-                 userId, apiId, appId, status, inParam, userLogo, userProject, apiType, chargeType,
-                 count(1) AS call_count, sum(accessFlow) AS sum_flow, sum(dealCount) AS sum_deal,
-                 min(add_time_ms) AS add_time_ms
-          FROM {name}
-          GROUP BY ALL
-        )
+        SELECT add_time_ms - pmod(add_time_ms, {settings.window_ms}) AS window_start,
+               userId AS user_id, apiId AS api_id, appId AS app_id, status, inParam AS in_param,
+               count(1) AS call_count, sum(accessFlow) AS sum_flow, sum(dealCount) AS sum_deal,
+               min(struct(add_time_ms, userLogo, userProject, apiType, chargeType)) AS earliest,
+               collect_set(CAST(NULL AS INT)) AS no_values
+        FROM {name}
         GROUP BY ALL
         """
     )
