@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from callmeter.functions.clock import local_day, month_of, window_start
@@ -26,22 +26,13 @@ def period_buckets(log: DataFrame, settings: Settings = Settings()) -> DataFrame
 EARLIEST = ["userLogo", "userProject", "apiType", "chargeType"]
 
 
-def _no_values() -> Column:
-    """An aggregate that collects nothing.
-
-    Next to an aggregate that keeps objects Spark keeps all buffers as objects,
-    also the struct of the earliest record, and hashes the groups of a task
-    while they are few, where it would sort all records for a struct alone.
-    """
-    return F.collect_set(F.lit(None).cast("int"))
-
-
 def access_increments(log: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """One row per window, user, API, app, status and parameter.
 
     Logo, project, API type, charge type and time are those of the earliest
     record of the group; among records of one millisecond, of the one whose
-    values sort first.  Records are summed per task before the one shuffle.
+    values sort first.  Records are summed per task before the one shuffle, so
+    a group of any size is one row of each task in it.
     """
     grouped = (
         log.select(
@@ -62,7 +53,6 @@ def access_increments(log: DataFrame, settings: Settings = Settings()) -> DataFr
             F.sum("accessFlow").alias("sum_flow"),
             F.sum("dealCount").alias("sum_deal"),
             F.min(F.struct("add_time_ms", *EARLIEST)).alias("earliest"),
-            _no_values().alias("no_values"),
         )
     )
     return _named(grouped, settings)
@@ -120,8 +110,7 @@ def access_increments_sql(
         SELECT add_time_ms - pmod(add_time_ms, {settings.window_ms}) AS window_start,
                userId AS user_id, apiId AS api_id, appId AS app_id, status, inParam AS in_param,
                count(1) AS call_count, sum(accessFlow) AS sum_flow, sum(dealCount) AS sum_deal,
-               min(struct(add_time_ms, userLogo, userProject, apiType, chargeType)) AS earliest,
-               collect_set(CAST(NULL AS INT)) AS no_values
+               min(struct(add_time_ms, userLogo, userProject, apiType, chargeType)) AS earliest
         FROM {name}
         GROUP BY ALL
         """

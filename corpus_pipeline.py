@@ -20,7 +20,7 @@ MAX_REPEATS = 2.0
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; one without a letter goes."""
+    """Documents whose language can be told; those without a letter and strings of codes go."""
     return langid.keep_identified(docs)
 
 
